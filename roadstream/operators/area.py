@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstream.functions.scalar import bit_offsets, floor_div
-from roadstream.operators.ordered import ordered
+from roadstream.operators.ordered import ordered, total
 from roadstream.schemas import pass_order
 
 TUMBLING_MS = 10_000
@@ -98,8 +98,8 @@ def _running_count(rows, counted, order, window_ms, split) -> DataFrame:
     )
     passes = rows.withColumn("is_pass", F.lit(1))
     both = passes.unionByName(marks, allowMissingColumns=True)
-    scan = ordered(both, ["area_id", "window_start"], [*order, "is_pass"], **split)
-    scan = scan.running_sum((1 - F.col("is_pass")).cast("bigint"), "car_count")
+    scan = ordered(both, ["area_id", "window_start"], [*order, "is_pass"], sizes=rows, **split)
+    scan = scan.scan(car_count=total((1 - F.col("is_pass")).cast("bigint")))
     return (
         scan.result()
         .where(F.col("is_pass") == 1)

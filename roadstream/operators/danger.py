@@ -1,12 +1,10 @@
 """Dangerous drivers: several grossly speeding passes of one car within a short time."""
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, functions as F
 
 from roadstream.functions.messages import danger_message
 from roadstream.functions.scalar import mean_speed, speed_units
-from roadstream.operators.ordered import Ordered, ordered
+from roadstream.operators.ordered import CELL, Ordered, latest, ordered, total
 from roadstream.operators.speeding import DEFAULT_LIMIT, GROSS_TOLERANCE, over_limit, with_limit
 from roadstream.schemas import pass_order
 
@@ -42,7 +40,7 @@ def dangerous_drivers(
     if mode == "longest":
         matches = starts.select("*", *[F.col(f"last.{c}").alias(f"end_{c}") for c in _END])
     else:
-        ends = passes.df.select("car", *[F.col(c).alias(f"end_{c}") for c in _END])
+        ends = passes.result().select("car", *[F.col(c).alias(f"end_{c}") for c in _END])
         matches = starts.withColumn(
             "end_n", F.explode(F.sequence(F.col("n") + (times - 1), F.col("last.n")))
         ).join(ends, ["car", "end_n"])
@@ -69,10 +67,10 @@ def gross_passes(
     default_limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
     limited = with_limit(traffic, limits, default_limit)
-    event_id = [c for c in ("event_id",) if c in limited.columns]
+    kept = [c for c in ("event_id", "event_ts") if c in limited.columns]
     return limited.where(over_limit(tolerance)).select(
         "car", "action_time", "monitor_id", "road_id",
-        speed_units(F.col("real_speed")).alias("units"), *event_id,
+        speed_units(F.col("real_speed")).alias("units"), *kept,
     )
 
 
@@ -113,7 +111,7 @@ def _numbered(gross: DataFrame, split: dict) -> Ordered:
     if "event_id" not in order:
         order = ["action_time", "monitor_id", "road_id", "units"]
     rows = ordered(gross, ["car"], order, **split)
-    return rows.running_sum(F.lit(1).cast("bigint"), "n").running_sum(F.col("units"), "sum")
+    return rows.scan(n=total(F.lit(1).cast("bigint")), sum=total(F.col("units")))
 
 
 def _last_ends(passes: Ordered, within_ms: int, split: dict) -> DataFrame:
@@ -124,11 +122,14 @@ def _last_ends(passes: Ordered, within_ms: int, split: dict) -> DataFrame:
         F.struct(at.alias("at"), F.lit(1).alias("is_pass")),
         F.struct((at + within_ms).alias("at"), F.lit(0).alias("is_pass")),
     )
-    events = passes.result().withColumn("mark", F.explode(marks)).select("*", "mark.*")
+    def events(df: DataFrame) -> DataFrame:
+        return df.withColumn("mark", F.explode(marks)).select("*", "mark.*").drop("mark")
+
     order = ["at", "is_pass", *passes.order]
-    if passes.split:
-        scan = ordered(events, ["car"], order, **split)
-    else:
-        scan = replace(passes, df=events, order=tuple(order))
-    here = F.when(F.col("is_pass") == 1, F.struct(*_END))
-    return scan.last_value(here, "last").result().where(F.col("is_pass") == 0)
+    here = latest(F.when(F.col("is_pass") == 1, F.struct(*_END)))
+    # Probes of ordinary keys stay with their key; those of hot keys may belong to a later cell.
+    last = Ordered(events(passes.whole), None, passes.keys, tuple(order)).scan(last=here).result()
+    if passes.cells is not None:
+        moved = ordered(events(passes.cells.drop(CELL)), ["car"], order, **split)
+        last = last.unionByName(moved.scan(last=here).result())
+    return last.where(F.col("is_pass") == 0)

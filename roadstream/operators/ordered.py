@@ -2,16 +2,18 @@
 
 `Window.partitionBy(key)` puts all rows of a key into one task. That is right and cheap for
 ordinary keys. Rows of a hot key are instead range-partitioned on the full order into cells of
-about equal size; each cell is scanned by itself, and what a cell needs from the cells before
-it (a sum, a last row) comes from one summary row per cell. The summary has at most one row per
-cell and hot key, so it is small whatever the data size, and is broadcast.
+about equal size; each cell is scanned by itself, and what a cell needs from the other cells
+(a sum, the last row before it) comes from one summary row per cell. The summary has at most
+one row per cell and hot key, so it is small whatever the data size, and is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from roadstream.operators.skew import HOT_ROWS, hot_frame, hot_keys
 from roadstream.session import ensure_checkpoint_dir
@@ -20,77 +22,123 @@ CELL = "_cell"
 CELL_ROWS = 1_000_000
 MAX_CELLS = 20_000
 
+_FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
+
 
 @dataclass(frozen=True)
-class Ordered:
-    """Rows of `df` in a total `order` per `keys`; split rows carry their cell number."""
+class Running:
+    """A value to carry along a scan; make one with `total`, `latest`, `before` or `following`."""
 
-    df: DataFrame
-    keys: tuple[str, ...]
-    order: tuple[str, ...]
-    split: bool
+    value: Column
+    kind: str
 
-    @property
-    def _parts(self) -> list[str]:
-        return [*self.keys, CELL] if self.split else list(self.keys)
 
-    def _scan(self, start: int, end: int):
-        return Window.partitionBy(*self._parts).orderBy(*self.order).rowsBetween(start, end)
+def total(value: Column) -> Running:
+    """Sum up to and with the current row."""
+    return Running(value, "total")
 
-    def _cells(self) -> DataFrame:
-        return self.df.where(F.col(CELL) >= 0)
 
-    def _with_seam(self, seam: DataFrame) -> DataFrame:
-        return self.df.join(F.broadcast(seam), self._parts, "left")
+def latest(value: Column) -> Running:
+    """Latest non-null value up to and with the current row."""
+    return Running(value, "latest")
 
-    def with_column(self, name: str, value: Column) -> Ordered:
-        return replace(self, df=self.df.withColumn(name, value))
-
-    def running_sum(self, value: Column, name: str) -> Ordered:
-        """Sum of `value` up to and with the current row."""
-        local = F.sum(value).over(self._scan(Window.unboundedPreceding, Window.currentRow))
-        if not self.split:
-            return self.with_column(name, local)
-        totals = self._cells().groupBy(*self._parts).agg(F.sum(value).alias("_total"))
-        before = Window.partitionBy(*self.keys).orderBy(CELL).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        seam = totals.select(*self._parts, F.sum("_total").over(before).alias("_seam"))
-        out = replace(self, df=self._with_seam(seam)).with_column(
-            name, local + F.coalesce(F.col("_seam"), F.lit(0))
+
+def before(value: Column) -> Running:
+    """Latest non-null value of the rows before the current one."""
+    return Running(value, "before")
+
+
+def following(value: Column) -> Running:
+    """Value, never null, of the row after the current one."""
+    return Running(value, "following")
+
+
+@dataclass(frozen=True)
+class Ordered:
+    """Rows in a total `order` per `keys`: those of ordinary keys in `whole`, those of hot keys
+    in `cells`, with their cell number. Either may be missing."""
+
+    whole: DataFrame | None
+    cells: DataFrame | None
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
+        """Apply a change that keeps `keys`, the cell number and the order of the rows."""
+        return replace(
+            self,
+            whole=None if self.whole is None else change(self.whole),
+            cells=None if self.cells is None else change(self.cells),
         )
-        return replace(out, df=out.df.drop("_seam"))
-
-    def last_value(self, value: Column, name: str, before: bool = False) -> Ordered:
-        """Latest non-null `value` so far; with `before`, the current row is left out."""
-        end = -1 if before else Window.currentRow
-        local = F.last(value, ignorenulls=True).over(self._scan(Window.unboundedPreceding, end))
-        if not self.split:
-            return self.with_column(name, local)
-        return self._with_edge(value, local, name, F.max, (Window.unboundedPreceding, -1), F.last)
-
-    def next_value(self, value: Column, name: str) -> Ordered:
-        """`value` (never null) of the row after the current one."""
-        local = F.lead(value).over(Window.partitionBy(*self._parts).orderBy(*self.order))
-        if not self.split:
-            return self.with_column(name, local)
-        return self._with_edge(value, local, name, F.min, (1, Window.unboundedFollowing), F.first)
-
-    def _with_edge(self, value, local, name, extreme, cells, nearest) -> Ordered:
-        """Fill `local` from the nearest other cell of the key that has a value."""
-        edge = extreme(F.when(value.isNotNull(), F.struct(*self.order, value.alias("_value"))))
-        edges = self._cells().groupBy(*self._parts).agg(edge.alias("_edge"))
-        others = Window.partitionBy(*self.keys).orderBy(CELL).rowsBetween(*cells)
-        seam = edges.select(
-            *self._parts, nearest("_edge._value", ignorenulls=True).over(others).alias("_seam")
+
+    def with_column(self, name: str, value: Column) -> Ordered:
+        return self.map(lambda df: df.withColumn(name, value))
+
+    def scan(self, **values: Running) -> Ordered:
+        """Add the running values as columns, all in one pass."""
+        out = self
+        if self.whole is not None:
+            out = replace(out, whole=_local(self.whole, list(self.keys), self.order, values))
+        if self.cells is not None:
+            parts = [*self.keys, CELL]
+            local = _local(self.cells, parts, self.order, values)
+            joined = local.join(F.broadcast(self._seam(values)), parts, "left")
+            filled = {
+                name: F.col(name) + F.coalesce(F.col(f"_seam_{name}"), F.lit(0))
+                if v.kind == "total"
+                else F.coalesce(F.col(name), F.col(f"_seam_{name}"))
+                for name, v in values.items()
+            }
+            joined = joined.withColumns(filled).drop(*[f"_seam_{n}" for n in values])
+            out = replace(out, cells=joined)
+        return out
+
+    def _seam(self, values: dict[str, Running]) -> DataFrame:
+        """What each cell takes over from the other cells of its key."""
+        parts = [*self.keys, CELL]
+        summary = self.cells.groupBy(*parts).agg(
+            *[_summary(v, self.order).alias(f"_cell_{n}") for n, v in values.items()]
         )
-        out = replace(self, df=self._with_seam(seam)).with_column(
-            name, F.coalesce(local, F.col("_seam"))
+        by_cell = Window.partitionBy(*self.keys).orderBy(CELL)
+        earlier, later = by_cell.rowsBetween(_FIRST, -1), by_cell.rowsBetween(1, _LAST)
+
+        def taken(name: str, kind: str) -> Column:
+            if kind == "total":
+                return F.sum(f"_cell_{name}").over(earlier)
+            if kind == "following":
+                return F.first(f"_cell_{name}._value", ignorenulls=True).over(later)
+            return F.last(f"_cell_{name}._value", ignorenulls=True).over(earlier)
+
+        return summary.select(
+            *parts, *[taken(n, v.kind).alias(f"_seam_{n}") for n, v in values.items()]
         )
-        return replace(out, df=out.df.drop("_seam"))
 
     def result(self) -> DataFrame:
-        return self.df.drop(CELL)
+        if self.cells is None:
+            return self.whole
+        cells = self.cells.drop(CELL)
+        return cells if self.whole is None else self.whole.unionByName(cells)
+
+
+def _local(df, parts, order, values: dict[str, Running]) -> DataFrame:
+    by_order = Window.partitionBy(*parts).orderBy(*order)
+
+    def over(v: Running) -> Column:
+        if v.kind == "total":
+            return F.sum(v.value).over(by_order.rowsBetween(_FIRST, Window.currentRow))
+        if v.kind == "following":
+            return F.lead(v.value).over(by_order)
+        end = -1 if v.kind == "before" else Window.currentRow
+        return F.last(v.value, ignorenulls=True).over(by_order.rowsBetween(_FIRST, end))
+
+    return df.select("*", *[over(v).alias(name) for name, v in values.items()])
+
+
+def _summary(v: Running, order) -> Column:
+    if v.kind == "total":
+        return F.sum(v.value)
+    edge = F.when(v.value.isNotNull(), F.struct(*order, v.value.alias("_value")))
+    return F.min(edge) if v.kind == "following" else F.max(edge)
 
 
 def ordered(
@@ -99,29 +147,49 @@ def ordered(
     order: list[str],
     hot_rows: int = HOT_ROWS,
     cell_rows: int = CELL_ROWS,
+    sizes: DataFrame | None = None,
 ) -> Ordered:
     """Prepare `df` for running values per `keys` in `order`, which must be total.
 
-    Without hot keys this adds nothing but a pre-combined count per key. The rows of hot keys
-    are checkpointed after range partitioning, so that a lost executor cannot change the cells.
-    Without `keys` there is one order over all rows, and all of them are split.
+    Without hot keys this adds nothing but a pre-combined count per key. Without `keys` there
+    is one order over all rows, and all of them go to cells. `sizes` may name a frame with the
+    same keys and about as many rows per key that is cheaper to count.
     """
-    if keys:
-        hot = hot_keys(df, keys, hot_rows)
-        if not hot:
-            return Ordered(df, tuple(keys), tuple(order), False)
-        marks = F.broadcast(hot_frame(df, keys, hot))
-        n_hot = sum(r["n"] for r in hot)
-        hot_part = df.join(marks, keys, "left_semi")
-        rest = df.join(marks, keys, "left_anti").withColumn(CELL, F.lit(-1))
-    else:
-        n_hot, hot_part, rest = df.count(), df, None
-    cells = min(max(2, -(-n_hot // cell_rows)), MAX_CELLS)
-    ensure_checkpoint_dir(df.sparkSession)
-    split = (
-        hot_part.repartitionByRange(cells, *keys, *order)
-        .withColumn(CELL, F.spark_partition_id())
-        .checkpoint()
+    if not keys:
+        return Ordered(None, _in_cells(df, keys, order, df.count(), cell_rows), (), tuple(order))
+    hot = hot_keys(df if sizes is None else sizes, keys, hot_rows)
+    if not hot:
+        return Ordered(df, None, tuple(keys), tuple(order))
+    marks = F.broadcast(hot_frame(df, keys, hot))
+    cells = _in_cells(
+        df.join(marks, keys, "left_semi"), keys, order, sum(r["n"] for r in hot), cell_rows
     )
-    out = split if rest is None else rest.unionByName(split)
-    return Ordered(out, tuple(keys), tuple(order), True)
+    return Ordered(df.join(marks, keys, "left_anti"), cells, tuple(keys), tuple(order))
+
+
+def _in_cells(df, keys, order, n_rows: int, cell_rows: int) -> DataFrame:
+    """Rows with their cell, checkpointed so that a lost executor cannot change the cells.
+
+    They are stored grouped by cell and sorted. Spark keeps note of that, but only for a plan
+    it will not adapt, and then the scans over them need no further shuffle or sort.
+    """
+    n = min(max(2, -(-n_rows // cell_rows)), MAX_CELLS)
+    ensure_checkpoint_dir(df.sparkSession)
+    in_cells = df.repartitionByRange(n, *keys, *order).withColumn(CELL, F.spark_partition_id())
+    with _fixed_plan(df.sparkSession):
+        return (
+            in_cells.repartition(n, *keys, CELL)
+            .sortWithinPartitions(*keys, CELL, *order)
+            .checkpoint()
+        )
+
+
+@contextmanager
+def _fixed_plan(spark: SparkSession):
+    name = "spark.sql.adaptive.enabled"
+    adaptive = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, adaptive)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstream.functions.scalar import floor_div
-from roadstream.operators.ordered import ordered
+from roadstream.operators.ordered import following, ordered
 from roadstream.operators.runs import PREV, pair_off
 
 BOUND_MS = 5_000
@@ -86,8 +86,7 @@ def reconcile_slots(
     rows = ordered(sides, ["car"], fields, **split)
     gap = F.col("at") - F.col(f"{PREV}.at")
     fits = (F.col("side") != F.col(f"{PREV}.side")) & (gap <= wait_ms)
-    rows = pair_off(rows, fields, fits)
-    after = rows.next_value(F.struct("at", "side", "_fits"), "_next").result()
+    after = pair_off(rows, fields, fits, _next=following(F.struct("at", "_fits"))).result()
 
     is_v, prev_v = F.col("side") == 0, F.col(f"{PREV}.side") == 0
     pairs = after.where(F.col("_second")).select(
@@ -165,6 +164,6 @@ def _stream_sides(violations, police) -> tuple[DataFrame, DataFrame]:
 
 def _stream_condition(lo_ms: int, hi_ms: int) -> Column:
     return F.expr(
-        f"v_car = p_car AND p_ts >= v_ts + make_dt_interval(0, 0, 0, {lo_ms / 1000:.3f}) "
-        f"AND p_ts <= v_ts + make_dt_interval(0, 0, 0, {hi_ms / 1000:.3f})"
+        f"v_car = p_car AND p_ts >= v_ts + INTERVAL '{lo_ms}' MILLISECONDS "
+        f"AND p_ts <= v_ts + INTERVAL '{hi_ms}' MILLISECONDS"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from roadstream.functions.scalar import floor_div, track_row_key
-from roadstream.operators.ordered import ordered
+from roadstream.operators.ordered import ordered, total
 from roadstream.operators.skew import BROADCAST_ROWS, lookup_join
 from roadstream.schemas import TRACK_COLUMNS, pass_order
 
@@ -49,5 +49,5 @@ def track_batches(tracks: DataFrame, size: int = BATCH_ROWS, **split) -> DataFra
     """
     order = pass_order(tracks.columns)
     order = [*order, *[c for c in ("car",) if c not in order]]
-    rows = ordered(tracks, [], order, **split).running_sum(F.lit(1).cast("bigint"), "_n")
+    rows = ordered(tracks, [], order, **split).scan(_n=total(F.lit(1).cast("bigint")))
     return rows.with_column("batch_id", floor_div(F.col("_n") - 1, size)).result().drop("_n")

@@ -85,18 +85,18 @@ running AS (
   FROM firsts)"""
 
 
-def _clones(gap_sec: int) -> str:
+def _clones(gap_sec: int, order: str = "action_time, event_id") -> str:
     return f"""
 lagged AS (
   SELECT *, lag(action_time) OVER w AS prev_time, lag(monitor_id) OVER w AS prev_monitor
-  FROM traffic WINDOW w AS (PARTITION BY car ORDER BY action_time, event_id)),
+  FROM traffic WINDOW w AS (PARTITION BY car ORDER BY {order})),
 runs AS (
   SELECT *, sum(CASE WHEN prev_time IS NULL OR (action_time - prev_time) // 1000 > {gap_sec}
                      THEN 1 ELSE 0 END)
-      OVER (PARTITION BY car ORDER BY action_time, event_id) AS run
+      OVER (PARTITION BY car ORDER BY {order}) AS run
   FROM lagged),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY car, run ORDER BY action_time, event_id) AS place
+  SELECT *, row_number() OVER (PARTITION BY car, run ORDER BY {order}) AS place
   FROM runs),
 clones AS (
   SELECT car, CASE WHEN action_time = prev_time THEN monitor_id ELSE prev_monitor END AS first_monitor,
@@ -105,10 +105,11 @@ clones AS (
   FROM placed WHERE place % 2 = 0)"""
 
 
-_GROSS = _LIMITED + """,
+def _gross(order: str = "action_time, event_id") -> str:
+    return _LIMITED + f""",
 gross AS (
   SELECT car, monitor_id, action_time, round(real_speed * 100)::BIGINT AS cents,
-    row_number() OVER (PARTITION BY car ORDER BY action_time, event_id) AS no
+    row_number() OVER (PARTITION BY car ORDER BY {order}) AS no
   FROM limited WHERE limit_speed * 1.2::DOUBLE < real_speed),
 sums AS (
   SELECT *, sum(cents) OVER (PARTITION BY car ORDER BY no) AS total FROM gross),
@@ -123,6 +124,9 @@ longest AS (
   SELECT * FROM pairs p
   QUALIFY row_number() OVER (PARTITION BY car, start_no ORDER BY pass_count DESC) = 1)"""
 
+
+_GROSS = _gross()
+
 _RUNNING_SQL = _with(TRAFFIC, _RUNNING) + """
 SELECT *, window_end || '_' || area_id AS window_key FROM running"""
 _CLONES_SQL = _with(TRAFFIC, _clones(10)) + " SELECT * FROM clones"
@@ -248,3 +252,31 @@ SELECT 'violation' AS kind, car, violation, create_time, NULL AS police_id, NULL
 UNION ALL
 SELECT 'police', car, NULL, NULL, police_id, action_status, action_time FROM police""",
 }
+
+# The streams. Wire lines have no event id: equal times are ordered by the other fields.
+_BY_FIELDS = "action_time, monitor_id, camera_id, speed, road_id, area_id"
+_GROSS_STREAM = _with(TRAFFIC, _LIMITS, _gross("action_time, monitor_id, road_id, cents"))
+_MATCH = "car, start_time, end_time, start_monitor, end_monitor, pass_count, avg_speed"
+_PAIR = "violation, create_time, police_id, action_status, action_time"
+
+ORACLE |= {
+    "speeding_stream": f"""
+SELECT car, monitor_id, road_id, real_speed, limit_speed, action_time FROM ({_SPEEDING})""",
+    "avg_speed_stream": ORACLE["avg_speed_sliding"],
+    "congestion_top3_stream": ORACLE["congestion_top3"],
+    "area_distinct_stream": f"""
+SELECT area_id, window_start, window_end, car_count FROM ({ORACLE["area_distinct_10s"]})""",
+    "area_running_stream": _with(TRAFFIC) + """
+SELECT area_id, action_time // 600000 * 600000 + 600000 AS window_end,
+  count(DISTINCT car) AS car_count
+FROM traffic GROUP BY 1, 2""",
+    "cloned_plates_stream": _with(TRAFFIC, _clones(10, _BY_FIELDS)) + " SELECT * FROM clones",
+    "dangerous_drivers_all_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM pairs",
+    "dangerous_drivers_longest_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM longest",
+    "violation_police_interval_stream": _BASE + f"""
+SELECT v.car, {_PAIR} FROM violation v JOIN police p ON {_NEAR}""",
+    "violation_police_reconcile_stream": f"""
+SELECT outcome, car, {_PAIR} FROM ({ORACLE["violation_police_reconcile"]})""",
+    "violation_police_slots_stream": _SLOTS_SQL,
+    "car_tracks_stream": _BASE + "," + _TRACKS + " SELECT * EXCLUDE (event_id) FROM tracks",
+}
