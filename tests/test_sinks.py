@@ -1,0 +1,100 @@
+"""Writers, keyed stores, and the options of connectors whose servers are not here."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from data import lines, passes, tuples, violations
+from roadstream.operators.tracks import car_tracks
+from roadstream.schemas import AVG_SPEED_COLUMNS, TRACK_COLUMNS, VIOLATION
+from roadstream.sinks import writers as w
+from roadstream.sources.jdbc import table_options
+from roadstream.sources.kafka import kafka_options
+
+DAY = 86400000
+
+
+def test_a_repeated_batch_is_not_doubled(spark, tmp_path):
+    writer = w.to_folder(str(tmp_path / "s"))
+    writer(violations(spark, [("A", 1)]), 0)
+    writer(violations(spark, [("B", 2), ("C", 3)]), 1)
+    writer(violations(spark, [("B", 2)]), 1)
+    stored = w.read_folder(spark, str(tmp_path / "s"), VIOLATION)
+    assert tuples(stored, "car", "batch_id") == [("A", 0), ("B", 1)]
+
+
+def test_empty_store(spark, tmp_path):
+    assert w.read_folder(spark, str(tmp_path / "none"), VIOLATION).count() == 0
+
+
+def test_violation_is_written_once_per_day(spark, tmp_path):
+    path = str(tmp_path / "v")
+    writer, existing = w.to_folder(path), w.stored_violations(spark, path)
+    batches = [
+        [("A", 10), ("A", 5), ("B", 7)],
+        [("A", 20), ("C", 9), ("A", DAY)],
+        [],
+        [("A", DAY - 1), ("A", 2 * DAY - 1), ("C", DAY)],
+    ]
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # every batch also runs again, as after a failure
+
+            def numbered(batch, _, i=i):
+                writer(batch, i)
+
+            w.write_violation_once_per_day(
+                violations(spark, rows), lambda _, i=i: existing(i), numbered)
+    stored = w.read_folder(spark, path, VIOLATION)
+    assert tuples(stored, "car", "create_time") == [
+        ("A", 5), ("A", DAY), ("B", 7), ("C", 9), ("C", DAY)]
+
+
+def test_tracks_are_put_by_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    listed = violations(spark, [("A", 1)])
+
+    def tracks(rows):
+        return car_tracks(passes(spark, rows), listed)
+
+    writer = w.to_folder(path)
+    w.write_tracks(tracks([("A", 1, "1", 5), ("A", 1, "2", 5), ("B", 1, "1", 5)]), writer)
+    w.write_tracks(tracks([("A", 1, "3", 5), ("A", 2, "4", 5)]), lambda b, _: writer(b, 1))
+    schema = tracks([("A", 1, "1", 5)])
+    latest = w.read_latest(spark, path, schema.select(*TRACK_COLUMNS).schema, ["row_key"])
+    assert tuples(latest, "action_time", "monitor_id") == [(1, "3"), (2, "4")]
+
+
+def test_columns_of_the_result_tables(spark, tmp_path):
+    df = passes(spark, [("A", 1, "1", 5)]).selectExpr(
+        "car", "monitor_id", "road_id", "speed AS real_speed", "60 AS limit_speed",
+        "action_time", "event_id")
+    seen = {}
+    w.write_speeding(df, lambda b, i: seen.update(speeding=b.columns))
+    avg = df.selectExpr("1 AS car_count", "1.0 AS avg_speed", "monitor_id", "2 AS end_time",
+                        "1 AS start_time", "car")
+    w.write_avg_speed(avg, lambda b, i: seen.update(avg=b.columns))
+    assert seen == {
+        "speeding": ["car", "monitor_id", "road_id", "real_speed", "limit_speed", "action_time"],
+        "avg": AVG_SPEED_COLUMNS,
+    }
+
+
+def test_console(spark, capfd):
+    w.to_console(lines(spark, ["shown on the console"]))
+    assert "shown on the console" in capfd.readouterr().out
+
+
+def test_connector_options(spark):
+    assert kafka_options("h:1") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "traffic", "startingOffsets": "earliest"}
+    assert kafka_options("h:1", "t", 5)["maxOffsetsPerTrigger"] == "5"
+    assert w.publish_options("h:1") == {"kafka.bootstrap.servers": "h:1", "topic": "traffic"}
+    assert table_options({"url": "jdbc:x"}, "t_monitor_info") == {
+        "url": "jdbc:x", "dbtable": "t_monitor_info"}
+    with pytest.raises(ValueError):
+        table_options({}, "t_monitor_info")
+
+
+def test_published_lines_have_no_key(spark):
+    rows = w.publish_rows(lines(spark, ["a", "b"]))
+    assert rows.columns == ["key", "value"]
+    assert rows.where(F.col("key").isNull()).count() == 2
