@@ -55,10 +55,10 @@ def following(value: Column) -> Running:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows in a total `order` per `keys`: those of ordinary keys in `whole`, those of hot keys
-    in `cells`, with their cell number. Either may be missing."""
+    """Rows in a total `order` per `keys`: those of ordinary keys in `whole`, those of hot keys,
+    if there are any, in `cells`, with their cell number."""
 
-    whole: DataFrame | None
+    whole: DataFrame
     cells: DataFrame | None
     keys: tuple[str, ...]
     order: tuple[str, ...]
@@ -67,7 +67,7 @@ class Ordered:
         """Apply a change that keeps `keys`, the cell number and the order of the rows."""
         return replace(
             self,
-            whole=None if self.whole is None else change(self.whole),
+            whole=change(self.whole),
             cells=None if self.cells is None else change(self.cells),
         )
 
@@ -76,9 +76,7 @@ class Ordered:
 
     def scan(self, **values: Running) -> Ordered:
         """Add the running values as columns, all in one pass."""
-        out = self
-        if self.whole is not None:
-            out = replace(out, whole=_local(self.whole, list(self.keys), self.order, values))
+        out = replace(self, whole=_local(self.whole, list(self.keys), self.order, values))
         if self.cells is not None:
             parts = [*self.keys, CELL]
             local = _local(self.cells, parts, self.order, values)
@@ -116,8 +114,7 @@ class Ordered:
     def result(self) -> DataFrame:
         if self.cells is None:
             return self.whole
-        cells = self.cells.drop(CELL)
-        return cells if self.whole is None else self.whole.unionByName(cells)
+        return self.whole.unionByName(self.cells.drop(CELL))
 
 
 def _local(df, parts, order, values: dict[str, Running]) -> DataFrame:
@@ -151,12 +148,9 @@ def ordered(
 ) -> Ordered:
     """Prepare `df` for running values per `keys` in `order`, which must be total.
 
-    Without hot keys this adds nothing but a pre-combined count per key. Without `keys` there
-    is one order over all rows, and all of them go to cells. `sizes` may name a frame with the
+    Without hot keys this adds nothing but a pre-combined count per key. `sizes` may name a frame with the
     same keys and about as many rows per key that is cheaper to count.
     """
-    if not keys:
-        return Ordered(None, _in_cells(df, keys, order, df.count(), cell_rows), (), tuple(order))
     hot = hot_keys(df if sizes is None else sizes, keys, hot_rows)
     if not hot:
         return Ordered(df, None, tuple(keys), tuple(order))
@@ -167,6 +161,37 @@ def ordered(
     return Ordered(df.join(marks, keys, "left_anti"), cells, tuple(keys), tuple(order))
 
 
+def numbered(df: DataFrame, order: list[str], name: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Number all rows from 0 in one total `order`.
+
+    Rows are counted within range partitions, and each partition is offset by those before it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    n = min(max(2, -(-df.count() // cell_rows)), MAX_CELLS)
+    # The id Spark gives holds the partition in its upper bits and the place in the lower 33.
+    placed = (
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .select(
+            "*",
+            F.shiftright("_id", 33).alias(CELL),
+            F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
+        )
+        .drop("_id")
+        .checkpoint()
+    )
+    earlier = Window.orderBy(CELL).rowsBetween(_FIRST, -1)
+    offsets = placed.groupBy(CELL).agg(F.count("*").alias("_n")).select(
+        CELL, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+    )
+    return (
+        placed.join(F.broadcast(offsets), CELL)
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop(CELL, "_place", "_offset")
+    )
+
+
 def _in_cells(df, keys, order, n_rows: int, cell_rows: int) -> DataFrame:
     """Rows with their cell, checkpointed so that a lost executor cannot change the cells.
 

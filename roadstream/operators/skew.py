@@ -2,11 +2,11 @@
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
-# A key with more rows than this is split. One task sorts this many narrow rows in seconds.
+# A key is hot if it has more rows than this (one task sorts so many narrow rows in seconds) and
+# more than a fair share of all rows (many keys of like size balance by themselves). There are
+# fewer than HOT_SHARE hot keys then, whatever the data, and any other key is handled whole.
 HOT_ROWS = 1_000_000
-# Only the largest keys are split, so the list of them stays small. Any key beyond the list
-# has at most 1/MAX_HOT_KEYS of the rows and is handled whole.
-MAX_HOT_KEYS = 10_000
+HOT_SHARE = 10_000
 # A side is broadcast only when it was counted and is within both limits.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -16,16 +16,21 @@ _SALT = "_salt"
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, share: int = HOT_SHARE
 ) -> list[Row]:
-    """The largest keys with more than `hot_rows` rows, as rows (keys..., n).
+    """Keys with more than `hot_rows` rows and more than 1/`share` of all, as (keys..., n).
 
-    The count is combined before the shuffle, so a hot key sends one row per input task.
+    The count is combined before the shuffle, so a hot key sends one row per input task. At
+    most `share` rows can pass, and no more come to the driver.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
     for key in keys:
         counts = counts.where(F.col(key).isNotNull())
-    return counts.orderBy(F.desc("n"), *keys).limit(max_keys).collect()
+    large = counts.orderBy(F.desc("n"), *keys).limit(share).collect()
+    if not large:
+        return []
+    fair = df.count() / share
+    return [r for r in large if r["n"] > fair]
 
 
 def hot_frame(df: DataFrame, keys: list[str], hot: list[Row]) -> DataFrame:

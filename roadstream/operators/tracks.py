@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from roadstream.functions.scalar import floor_div, track_row_key
-from roadstream.operators.ordered import ordered, total
+from roadstream.operators.ordered import numbered
 from roadstream.operators.skew import BROADCAST_ROWS, lookup_join
 from roadstream.schemas import TRACK_COLUMNS, pass_order
 
@@ -42,12 +42,12 @@ def latest_per_key(tracks: DataFrame) -> DataFrame:
     )
 
 
-def track_batches(tracks: DataFrame, size: int = BATCH_ROWS, **split) -> DataFrame:
+def track_batches(tracks: DataFrame, size: int = BATCH_ROWS, **cells) -> DataFrame:
     """Consecutive batches of `size` rows over one order of all rows; the last may be short.
 
     Rows are numbered inside range partitions, offset by the rows before, not in one task.
     """
     order = pass_order(tracks.columns)
     order = [*order, *[c for c in ("car",) if c not in order]]
-    rows = ordered(tracks, [], order, **split).scan(_n=total(F.lit(1).cast("bigint")))
-    return rows.with_column("batch_id", floor_div(F.col("_n") - 1, size)).result().drop("_n")
+    rows = numbered(tracks, order, "_no", **cells)
+    return rows.withColumn("batch_id", floor_div(F.col("_no"), size)).drop("_no")

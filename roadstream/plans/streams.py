@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from roadstream.operators import area, flow, police, speeding, tracks
-from roadstream.operators.skew import BROADCAST_ROWS
 from roadstream.plans import fixtures as fx
 from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
@@ -82,9 +82,11 @@ def tracks_job(lines: DataFrame, violations: DataFrame) -> DataFrame:
     return tracks.car_tracks(parse_traffic(lines), violations)
 
 
-# Draining: the inputs as lines in the shared folder, one run over all of them.
+# Draining: the inputs arrive as lines in the shared folder, slice by slice in time.
 
 FAR_FUTURE = 4102444800000  # 2100-01-01: a last row that lets the watermark pass all others
+SLICES = 2  # at least, so that state is carried over
+BYTES_PER_SLICE = 8 << 30
 BYTES_PER_PARTITION = 32 << 20
 
 
@@ -94,30 +96,41 @@ def drain(
     job: Callable[..., DataFrame],
     output_mode: str = "append",
 ) -> DataFrame:
-    """Results of `job` after a stream over all of `inputs` (name -> lines) has ended."""
+    """Results of `job` over all of `inputs` (name -> rows of `at`, `value`), taken in as a
+    stream. What waits in the state is never more than a slice and the rows in the delay."""
     base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    streams = {}
-    for name, lines in inputs.items():
-        lines.write.text(f"{base}/in/{name}")
-        streams[name] = read_lines_stream(spark, f"{base}/in/{name}")
-    with _state_partitions(spark, f"{base}/in"):
-        result = job(**streams)
-        query = write(
-            result, to_folder(f"{base}/out"), f"{base}/checkpoint", output_mode,
-            {"availableNow": True},
-        )
-        query.awaitTermination()
+    bounds, slice_bytes = _slices(inputs)
+    with _state_partitions(spark, slice_bytes):
+        result = None
+        for lo, hi in zip(bounds, bounds[1:]):
+            for name, rows in inputs.items():
+                part = rows.where((F.col("at") >= lo) & (F.col("at") < hi))
+                part.select("value").write.mode("append").text(f"{base}/in/{name}")
+            streams = {name: read_lines_stream(spark, f"{base}/in/{name}") for name in inputs}
+            result = job(**streams)
+            write(
+                result, to_folder(f"{base}/out"), f"{base}/checkpoint", output_mode,
+                {"availableNow": True},
+            ).awaitTermination()
     schema = T.StructType(result.schema.fields)
     return spark.read.schema(schema).parquet(f"{base}/out").select(*schema.fieldNames())
 
 
+def _slices(inputs: dict[str, DataFrame]) -> tuple[list[int], int]:
+    """Bounds in time of slices with about equally many rows, and the bytes of one slice. All
+    inputs share the bounds, so that neither runs ahead."""
+    both = [df.select("at", F.octet_length("value").alias("b")) for df in inputs.values()]
+    rows = reduce(DataFrame.unionByName, both)
+    size = rows.agg(F.sum("b")).first()[0] or 0
+    n = max(SLICES, -(-size // BYTES_PER_SLICE))
+    inner = rows.approxQuantile("at", [i / n for i in range(1, n)], 0.1 / n)
+    return [0, *sorted({int(b) for b in inner}), FAR_FUTURE + 1], size // n
+
+
 @contextmanager
-def _state_partitions(spark: SparkSession, path: str):
-    """As many partitions of state as the input asks for: unlike the shuffles of a table job,
+def _state_partitions(spark: SparkSession, size: int):
+    """As many partitions of state as a slice asks for: unlike the shuffles of a table job,
     those of a stream are not fitted to the data by Spark."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    size = fs.getContentSummary(hadoop_path).getLength()
     name = "spark.sql.shuffle.partitions"
     given = spark.conf.get(name)
     spark.conf.set(name, str(max(4, size // BYTES_PER_PARTITION)))
@@ -140,11 +153,15 @@ def police_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _as_lines(df: DataFrame, schema: T.StructType, time_col: str) -> DataFrame:
-    """Wire lines of a table, and the closing row."""
-    rows = df.select(F.concat_ws(",", *schema.fieldNames()).alias("value"))
+    """Wire lines of a table with their time, and the closing row."""
+    line = F.concat_ws(",", *schema.fieldNames())
+    rows = df.select(F.col(time_col).alias("at"), line.alias("value"))
     closing = ",".join(
         str(FAR_FUTURE) if f.name == time_col
         else "0" if isinstance(f.dataType, T.DoubleType) else f"closing {time_col}"
         for f in schema
     )
-    return rows.unionByName(df.sparkSession.range(1).select(F.lit(closing).alias("value")))
+    last = df.sparkSession.range(1).select(
+        F.lit(FAR_FUTURE).alias("at"), F.lit(closing).alias("value")
+    )
+    return rows.unionByName(last)

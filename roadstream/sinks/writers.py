@@ -36,9 +36,10 @@ def write(
     if not df.isStreaming:
         writer(df, 0)
         return None
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder that all executors share")
     stream = df.writeStream.outputMode(output_mode).foreachBatch(writer)
-    if checkpoint:
-        stream = stream.option("checkpointLocation", checkpoint)
+    stream = stream.option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
@@ -146,13 +147,15 @@ def write_area_counts(df: DataFrame, writer: Writer, checkpoint: str | None = No
     return write(df, writer, checkpoint, output_mode="update", **kw)
 
 
-def to_console(df: DataFrame, rows: int = 20, output_mode: str = "append"):
-    """Show results; for a stream, those of every micro-batch."""
-    if not df.isStreaming:
-        df.show(rows, truncate=False)
-        return None
-    console = df.writeStream.format("console").outputMode(output_mode)
-    return console.option("numRows", rows).option("truncate", "false").start()
+def to_console(
+    df: DataFrame, checkpoint: str | None = None, rows: int = 20, output_mode: str = "append", **kw
+):
+    """Show the first results; for a stream, those of every micro-batch."""
+
+    def show(batch: DataFrame, _: int) -> None:
+        batch.show(rows, truncate=False)
+
+    return write(df, show, checkpoint, output_mode, **kw)
 
 
 def publish_options(servers: str, topic: str = TRAFFIC_TOPIC) -> dict[str, str]:

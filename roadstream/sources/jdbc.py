@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadstream.operators.speeding import monitor_limits as limits_of
 from roadstream.schemas import MONITOR_INFO, VIOLATION
+from roadstream.session import ensure_checkpoint_dir
 
 MONITOR_TABLE = "t_monitor_info"
 VIOLATION_TABLE = "t_violation_list"
@@ -31,11 +32,17 @@ def monitor_limits(
     """
     columns = [*MONITOR_INFO.fieldNames(), *([version] if version else [])]
     limits = limits_of(read_table(spark, connection, MONITOR_TABLE).select(*columns), version)
-    return limits.cache() if snapshot else limits
+    return _snapshot(limits) if snapshot else limits
 
 
 def violation_list(
     spark: SparkSession, connection: dict[str, str], snapshot: bool = False
 ) -> DataFrame:
     listed = read_table(spark, connection, VIOLATION_TABLE).select(*VIOLATION.fieldNames())
-    return listed.cache() if snapshot else listed
+    return _snapshot(listed) if snapshot else listed
+
+
+def _snapshot(df: DataFrame) -> DataFrame:
+    """Read once: a lost executor must not bring in a later state of the table."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

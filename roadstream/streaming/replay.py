@@ -56,25 +56,27 @@ def _names(schema: str) -> list[str]:
 
 
 def _runner(time_col, order, fields, whole, machine, names):
+    at, places = fields.index(time_col), [fields.index(c) for c in order]
+
     def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, memory = json.loads(state.get[0]) if state.exists else ([], None)
-        for frame in frames:
-            waiting.extend(_plain_rows(frame, fields, whole))
         watermark = state.getCurrentWatermarkMs()
-        due = [r for r in waiting if r[time_col] <= watermark]
-        waiting = [r for r in waiting if r[time_col] > watermark]
-        due.sort(key=lambda r: [(r[c] is not None, r[c]) for c in order])
+        kept, memory = json.loads(state.get[0]) if state.exists else ([], None)
+        due, waiting = [], []
+        for rows in (kept, *(_plain_rows(f, fields, whole) for f in frames)):
+            for r in rows:
+                (due if r[at] <= watermark else waiting).append(r)
+        due.sort(key=lambda r: [(r[i] is not None, r[i]) for i in places])
 
         out: list[tuple] = []
         for row in due:
-            memory, emitted = machine.step(memory, row)
+            memory, emitted = machine.step(memory, dict(zip(fields, row)))
             out.extend(emitted)
         if memory is not None:
             memory, emitted = machine.expire(memory, watermark)
             out.extend(emitted)
 
         if waiting or memory is not None:
-            times = [r[time_col] for r in waiting]
+            times = [r[at] for r in waiting]
             if memory is not None:
                 times.append(machine.deadline(memory))
             state.update((json.dumps([waiting, memory]),))
@@ -87,13 +89,13 @@ def _runner(time_col, order, fields, whole, machine, names):
     return run
 
 
-def _plain_rows(frame: pd.DataFrame, fields: list[str], whole: list[str]) -> list[dict]:
+def _plain_rows(frame: pd.DataFrame, fields: list[str], whole: list[str]) -> list[tuple]:
     """Rows fit for JSON: missing values as None, and whole numbers whole, also where pandas
     had made a column with missing values a float one."""
-    columns = {}
+    columns = []
     for c in fields:
         values = frame[c].tolist()
         missing = frame[c].isna().tolist()
         make = int if c in whole else lambda v: v
-        columns[c] = [None if m else make(v) for v, m in zip(values, missing)]
-    return [dict(zip(fields, row)) for row in zip(*columns.values())]
+        columns.append([None if m else make(v) for v, m in zip(values, missing)])
+    return list(zip(*columns))

@@ -126,7 +126,7 @@ def test_hot_keys_are_the_largest(spark):
                                  .when(F.col("id") < 95, 3).alias("k"))
     got = [(r["k"], r["n"]) for r in skew.hot_keys(df, ["k"], 10)]
     assert got == [(1, 50), (2, 30), (3, 15)]
-    assert [r["k"] for r in skew.hot_keys(df, ["k"], 10, max_keys=1)] == [1]
+    assert [r["k"] for r in skew.hot_keys(df, ["k"], 10, share=3)] == [1]
 
 
 @pytest.mark.parametrize("hot_rows", [10, 1_000_000])

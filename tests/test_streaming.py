@@ -203,7 +203,7 @@ from roadstream.plans import streams
 spark = build_session("elsewhere", "local[2]", spark__ui__enabled="false")
 rows = [f"{{1592722000000 + 1000 * i}},1,1,A,1.0,1,1" for i in range(4)]
 rows.append("4102444800000,1,1,closing,1.0,1,1")
-lines = spark.createDataFrame([(r,) for r in rows], "value string")
+lines = spark.createDataFrame([(int(r.split(",")[0]), r) for r in rows], "at bigint, value string")
 print("alarms", streams.drain(spark, {{"lines": lines}}, streams.clones_job).count())
 """)
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True,
