@@ -79,6 +79,7 @@ def congestion_topn(
 
 
 def _congestion_topn_stream(traffic, n, window_ms, slide_ms) -> DataFrame:
+    # A slide gathers one aggregated entry per checkpoint, as many as the city has.
     entry = F.struct(
         (-F.col("car_count")).alias("order"), "monitor_id", "avg_speed", "car_count",
         "start_time", "end_time",

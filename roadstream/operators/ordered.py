@@ -27,7 +27,8 @@ _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 @dataclass(frozen=True)
 class Running:
-    """A value to carry along a scan; make one with `total`, `latest`, `before` or `following`."""
+    """A value to carry along a scan; make one with `total`, `latest`, `previous` or
+    `following`."""
 
     value: Column
     kind: str
@@ -43,9 +44,9 @@ def latest(value: Column) -> Running:
     return Running(value, "latest")
 
 
-def before(value: Column) -> Running:
-    """Latest non-null value of the rows before the current one."""
-    return Running(value, "before")
+def previous(value: Column) -> Running:
+    """Value, never null, of the row before the current one."""
+    return Running(value, "previous")
 
 
 def following(value: Column) -> Running:
@@ -123,10 +124,12 @@ def _local(df, parts, order, values: dict[str, Running]) -> DataFrame:
     def over(v: Running) -> Column:
         if v.kind == "total":
             return F.sum(v.value).over(by_order.rowsBetween(_FIRST, Window.currentRow))
+        if v.kind == "previous":
+            return F.lag(v.value).over(by_order)
         if v.kind == "following":
             return F.lead(v.value).over(by_order)
-        end = -1 if v.kind == "before" else Window.currentRow
-        return F.last(v.value, ignorenulls=True).over(by_order.rowsBetween(_FIRST, end))
+        so_far = by_order.rowsBetween(_FIRST, Window.currentRow)
+        return F.last(v.value, ignorenulls=True).over(so_far)
 
     return df.select("*", *[over(v).alias(name) for name, v in values.items()])
 

@@ -268,7 +268,7 @@ SELECT car, monitor_id, road_id, real_speed, limit_speed, action_time FROM ({_SP
 SELECT area_id, window_start, window_end, car_count FROM ({ORACLE["area_distinct_10s"]})""",
     "area_running_stream": _with(TRAFFIC) + """
 SELECT area_id, action_time // 600000 * 600000 + 600000 AS window_end,
-  count(DISTINCT car) AS car_count
+  count(DISTINCT car) AS car_count, window_end || '_' || area_id AS window_key
 FROM traffic GROUP BY 1, 2""",
     "cloned_plates_stream": _with(TRAFFIC, _clones(10, _BY_FIELDS)) + " SELECT * FROM clones",
     "dangerous_drivers_all_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM pairs",

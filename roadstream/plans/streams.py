@@ -12,12 +12,13 @@ from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from roadstream.operators import area, flow, police, speeding, tracks
+from roadstream.operators import area, clones, danger, flow, police, speeding, tracks
 from roadstream.plans import fixtures as fx
 from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
-from roadstream.sinks.writers import to_folder, write
+from roadstream.sinks.writers import Writer, to_folder, write, write_speeding
 from roadstream.sources.lines import parse_police, parse_traffic, parse_violation, read_lines_stream
 from roadstream.streaming.area_counts import area_running_stream
 from roadstream.streaming.machines import (
@@ -41,6 +42,23 @@ def speeding_job(lines: DataFrame, limits: DataFrame) -> DataFrame:
     return speeding.speeding(parse_traffic(lines), limits)
 
 
+def run_speeding(
+    lines: DataFrame,
+    read_limits: Callable[[], DataFrame],
+    writer: Writer,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery | None:
+    """`speeding_job` with limits that change: they are read again for every micro-batch, which
+    follows new, changed and removed limits, and their size is checked anew each time."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = speeding.speeding(batch, read_limits())
+        write_speeding(rows, lambda df, _: writer(df, batch_id))
+
+    return write(parse_traffic(lines), each, checkpoint, trigger=trigger)
+
+
 def avg_speed_job(lines: DataFrame) -> DataFrame:
     return flow.avg_speed(_traffic(lines, FLOW_DELAY))
 
@@ -59,11 +77,20 @@ def area_running_job(lines: DataFrame) -> DataFrame:
 
 
 def clones_job(lines: DataFrame) -> DataFrame:
-    return cloned_plates_stream(_traffic(lines, IN_ORDER))
+    traffic = _traffic(lines, IN_ORDER)
+    return (cloned_plates_stream if lines.isStreaming else clones.cloned_plates)(traffic)
+
+
+def clone_violations_job(lines: DataFrame) -> DataFrame:
+    """Alarms as violations, for `write_violation_once_per_day`."""
+    return clones.as_violations(clones_job(lines))
 
 
 def danger_job(lines: DataFrame, limits: DataFrame, mode: str = "all") -> DataFrame:
-    return dangerous_drivers_stream(_traffic(lines, FLOW_DELAY), limits, mode=mode)
+    traffic = _traffic(lines, FLOW_DELAY)
+    if lines.isStreaming:
+        return dangerous_drivers_stream(traffic, limits, mode=mode)
+    return danger.dangerous_drivers(traffic, limits, mode=mode).drop("start_no")
 
 
 def police_match_job(violation_lines: DataFrame, police_lines: DataFrame) -> DataFrame:
@@ -75,7 +102,10 @@ def reconcile_job(violation_lines: DataFrame, police_lines: DataFrame) -> DataFr
 
 
 def slots_job(violation_lines: DataFrame, police_lines: DataFrame) -> DataFrame:
-    return reconcile_slots_stream(*_police_sides(violation_lines, police_lines))
+    sides = _police_sides(violation_lines, police_lines)
+    if violation_lines.isStreaming:
+        return reconcile_slots_stream(*sides)
+    return police.reconcile_slots(*sides)
 
 
 def tracks_job(lines: DataFrame, violations: DataFrame) -> DataFrame:

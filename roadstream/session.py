@@ -27,12 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     A local session without that setting gets a folder of its own; a cluster must name one.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
     if sc.master.startswith("local"):
-        current = sc.getCheckpointDir()
-        return current or tempfile.mkdtemp(prefix="roadstream-")
+        return tempfile.mkdtemp(prefix="roadstream-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 

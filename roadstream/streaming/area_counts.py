@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from roadstream.functions.scalar import bit_offsets, floor_div
+from roadstream.functions.scalar import bit_offsets, floor_div, window_area_key
 from roadstream.operators.area import BLOOM_BITS, RUNNING_MS
 
 SHARDS = 32
@@ -67,4 +67,5 @@ def area_totals(counts: DataFrame) -> DataFrame:
     """Distinct cars per area and window from all counts written so far. Counts only grow, so
     the largest of a shard is its latest."""
     latest = counts.groupBy(*_KEYS).agg(F.max("car_count").alias("car_count"))
-    return latest.groupBy("area_id", "window_end").agg(F.sum("car_count").alias("car_count"))
+    totals = latest.groupBy("area_id", "window_end").agg(F.sum("car_count").alias("car_count"))
+    return totals.withColumn("window_key", window_area_key(F.col("window_end"), F.col("area_id")))

@@ -9,7 +9,7 @@ from data import passes, tuples, violations, police, limits_table
 from roadstream.operators import skew
 from roadstream.operators.clones import cloned_plates
 from roadstream.operators.danger import dangerous_drivers
-from roadstream.operators.ordered import before, following, latest, ordered, total
+from roadstream.operators.ordered import following, latest, ordered, previous, total
 from roadstream.operators.police import reconcile_slots
 from roadstream.operators.speeding import monitor_limits
 from roadstream.operators.tracks import only_violators
@@ -95,8 +95,7 @@ def test_scan_over_all_kinds(spark):
         (F.col("id") % 2).alias("k"), F.col("id").alias("t"),
         F.when(F.col("id") % 11 == 0, F.col("id")).alias("mark"))
     values = {"sum": total(F.col("t")), "mark_now": latest(F.col("mark")),
-              "prev": before(F.col("t")), "next": following(F.col("t")),
-              "prev_mark": before(F.col("mark"))}
+              "prev": previous(F.col("t")), "next": following(F.col("t"))}
     plain = ordered(df, ["k"], ["t"]).scan(**values).result()
     columns = plain.columns
     split = ordered(df, ["k"], ["t"], hot_rows=10, cell_rows=5).scan(**values)

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from data import BASE, limits_table, lines, tuples
 from roadstream.operators.area import area_distinct
-from roadstream.operators.clones import cloned_plates
+from roadstream.operators.clones import cloned_plates, once_per_day
 from roadstream.operators.danger import dangerous_drivers
 from roadstream.operators.flow import avg_speed, congestion_topn
 from roadstream.operators.police import interval_join, reconcile, reconcile_slots
 from roadstream.operators.speeding import monitor_limits, speeding
 from roadstream.operators.tracks import car_tracks
 from roadstream.plans import streams
-from roadstream.sinks.writers import read_folder, to_folder, write, write_area_counts
+from roadstream.sinks.writers import (
+    read_folder, stored_violations, to_folder, write, write_area_counts,
+    write_violation_once_per_day,
+)
 from roadstream.sources.lines import (
     parse_police, parse_traffic, parse_violation, read_lines, read_lines_stream,
 )
@@ -223,6 +226,55 @@ def test_processing_time_needs_no_event_order(spark, tmp_path):
     assert set(got.columns) == {"area_id", "window_start", "window_end", "car_count", "batch_id"}
 
 
+def test_limits_follow_their_table(spark, tmp_path):
+    """A limit that comes, changes and goes while the stream runs."""
+    folder = tmp_path / "in"
+    limits = {}
+
+    def read_limits():
+        rows = [("none", 0), *limits.items()]
+        return monitor_limits(limits_table(spark, rows))
+
+    for i, now in enumerate([{}, {"0001": 100}, {"0001": 60}, {}]):
+        folder.mkdir(exist_ok=True)
+        (folder / f"{i}.txt").write_text(f"{BASE + i},0001,1,A{i},80.0,01,01\n")
+        limits.clear()
+        limits.update(now)
+        streams.run_speeding(
+            read_lines_stream(spark, str(folder)), read_limits, to_folder(f"{tmp_path}/out"),
+            f"{tmp_path}/checkpoint", {"availableNow": True}).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert tuples(got, "car", "limit_speed") == [("A2", 60)]
+
+
+def test_clones_reach_the_violation_list_once_a_day(spark, tmp_path):
+    batches = traffic_batches()
+    path = str(tmp_path / "store")
+    alarms = streams.clone_violations_job(
+        read_lines_stream(spark, put(tmp_path / "in", batches), 1))
+    write_violation_once_per_day(
+        alarms, stored_violations(spark, path), to_folder(path), f"{tmp_path}/checkpoint",
+        trigger={"availableNow": True}).awaitTermination()
+    table = streams.clone_violations_job(lines(spark, flat(batches)))
+    want = once_per_day(table, table.limit(0))
+    stored = read_folder(spark, path, want.schema)
+    assert tuples(stored, *want.columns) == tuples(want, *want.columns)
+    assert 1 < want.count() < table.count()
+
+
+def test_a_stream_needs_a_checkpoint(spark, tmp_path):
+    stream = read_lines_stream(spark, put(tmp_path / "in", [["x"]]))
+    with pytest.raises(ValueError):
+        write(stream, to_folder(f"{tmp_path}/out"))
+
+
+@pytest.mark.parametrize("job", ["clones_job", "danger_job"])
+def test_jobs_also_take_tables(spark, job):
+    batches = traffic_batches()
+    limits = [monitor_limits(limits_table(spark, LIMITS))] if job == "danger_job" else []
+    assert getattr(streams, job)(lines(spark, flat(batches)), *limits).count() > 0
+
+
 # The machines by themselves.
 
 
