@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadstream.functions.messages import CLONED
 from roadstream.functions.scalar import abs_gap_sec, day_start
-from roadstream.operators.ordered import ordered
+from roadstream.operators.ordered import Running, ordered
 from roadstream.operators.runs import PREV, pair_off
 from roadstream.schemas import VIOLATION_COLUMNS, pass_order
 
@@ -16,11 +16,22 @@ def cloned_plates(traffic: DataFrame, gap_sec: int = GAP_SEC, **split) -> DataFr
 
     A pass is used in one alarm at most. The two checkpoints may be the same one.
     """
-    order = pass_order(traffic.columns)
-    fields = list(dict.fromkeys([*order, "monitor_id"]))
-    rows = ordered(traffic.select("car", *fields), ["car"], order, **split)
+    return clone_alarms(paired_passes(traffic.select(*clone_columns(traffic)), gap_sec, split))
+
+
+def clone_columns(traffic: DataFrame) -> list[str]:
+    return list(dict.fromkeys(["car", *pass_order(traffic.columns), "monitor_id"]))
+
+
+def paired_passes(passes: DataFrame, gap_sec: int, split: dict, **values: Running) -> DataFrame:
+    """All passes with what `pair_off` adds. `passes` has the columns of `clone_columns`."""
+    rows = ordered(passes, ["car"], pass_order(passes.columns), **split)
     near = abs_gap_sec(F.col("action_time"), F.col(f"{PREV}.action_time")) <= gap_sec
-    pairs = pair_off(rows, fields, near).result().where(F.col("_second"))
+    return pair_off(rows, passes.columns[1:], near, **values).result()
+
+
+def clone_alarms(paired: DataFrame) -> DataFrame:
+    pairs = paired.where(F.col("_second"))
     tied = F.col("action_time") == F.col(f"{PREV}.action_time")
     return pairs.select(
         "car",

@@ -31,9 +31,15 @@ def dangerous_drivers(
     `within_ms`, and the last pass before the probe is the answer. No pass is compared with
     all others of its car, and "all" then only writes the matches themselves.
     """
+    gross = gross_passes(traffic, limits, tolerance, default_limit)
+    return matches_of(gross, times, within_ms, mode, split)
+
+
+def matches_of(gross: DataFrame, times: int, within_ms: int, mode: str, split: dict) -> DataFrame:
+    """`dangerous_drivers` from the rows of `gross_passes`."""
     if mode not in ("all", "longest"):
         raise ValueError(f"unknown mode {mode!r}")
-    passes = _numbered(gross_passes(traffic, limits, tolerance, default_limit), split)
+    passes = _numbered(gross, split)
     starts = _last_ends(passes, within_ms, split).where(
         F.col("last.n") - F.col("n") >= times - 1
     )

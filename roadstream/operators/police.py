@@ -81,9 +81,17 @@ def reconcile_slots(
 ) -> DataFrame:
     """As `reconcile`, with one slot per car: a row is matched at most once, with the row right
     before or after it, and a second row of a kind takes the slot of the first (`replaced`)."""
-    sides = slot_rows(violations, police)
+    pairs, alone = slot_outcomes(slot_rows(violations, police), wait_ms, split)
+    return pairs.unionByName(alone.select("outcome", "car", *SLOT_FIELDS))
+
+
+def slot_outcomes(
+    sides: DataFrame, wait_ms: int, split: dict
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs, and the rows without a partner with their outcome. `_is_last` marks those that
+    no row of their car follows."""
     fields = ["at", "side", *SLOT_FIELDS]
-    rows = ordered(sides, ["car"], fields, **split)
+    rows = ordered(sides.select("car", *fields), ["car"], fields, **split)
     gap = F.col("at") - F.col(f"{PREV}.at")
     fits = (F.col("side") != F.col(f"{PREV}.side")) & (gap <= wait_ms)
     after = pair_off(rows, fields, fits, _next=following(F.struct("at", "_fits"))).result()
@@ -106,7 +114,8 @@ def reconcile_slots(
     outcome = (
         F.when(soon, REPLACED).when(is_v, NO_POLICE).otherwise(NO_VIOLATION).alias("outcome")
     )
-    return pairs.unionByName(alone.select(outcome, "car", *SLOT_FIELDS))
+    last = F.col("_next").isNull().alias("_is_last")
+    return pairs, alone.select(outcome, "car", *fields, last)
 
 
 SLOT_FIELDS = ["violation", "create_time", "police_id", "action_status", "action_time"]

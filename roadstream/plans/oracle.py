@@ -280,3 +280,7 @@ SELECT outcome, car, {_PAIR} FROM ({ORACLE["violation_police_reconcile"]})""",
     "violation_police_slots_stream": _SLOTS_SQL,
     "car_tracks_stream": _BASE + "," + _TRACKS + " SELECT * EXCLUDE (event_id) FROM tracks",
 }
+
+for _name in ("cloned_plates", "dangerous_drivers_all", "dangerous_drivers_longest",
+              "violation_police_slots"):
+    ORACLE[f"{_name}_state"] = ORACLE[f"{_name}_stream"]

@@ -223,54 +223,78 @@ QUERIES: dict[str, Query] = {
 # of a car are ordered by the other fields; the SQL for them orders likewise.
 
 
-def _drained_traffic(job, **kw) -> Query:
+def _traffic_stream(job, output_mode: str = "append", **kw) -> Query:
+    """`job(spark, sf_dir, lines)` gives the result stream."""
+
+    def start(spark, sf_dir):
+        return streams.to_results(lambda lines: job(spark, sf_dir, lines), output_mode)
+
+    return _traffic_run(start, **kw)
+
+
+def _traffic_run(start, **kw) -> Query:
+    """`start(spark, sf_dir)` gives what starts the query."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return streams.drain(
-            spark, {"lines": streams.traffic_lines(spark, sf_dir)},
-            lambda lines: job(spark, sf_dir, lines), **kw,
-        )
+        inputs = {"lines": streams.traffic_lines(spark, sf_dir)}
+        return streams.drain(spark, inputs, start(spark, sf_dir), **kw)
 
     return query
 
 
-def _drained_police(job) -> Query:
+def _police_run(start: streams.Start, **kw) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs = {
             "violation_lines": streams.violation_lines(spark, sf_dir),
             "police_lines": streams.police_lines(spark, sf_dir),
         }
-        return streams.drain(spark, inputs, job)
+        return streams.drain(spark, inputs, start, **kw)
 
     return query
 
 
+def _danger_carried(mode: str) -> Query:
+    return _traffic_run(
+        lambda s, d: lambda folder, lines: streams.danger_carried(folder, lines, limits(s, d), mode)
+    )
+
+
 def area_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _drained_traffic(
-        lambda _, __, lines: streams.area_running_job(lines), output_mode="update"
-    )(spark, sf_dir)
+    counts = _traffic_stream(lambda _, __, x: streams.area_running_job(x), "update")
     # The window of the closing row is not part of the input.
-    return area_totals(counts).where(F.col("window_end") < streams.FAR_FUTURE)
+    totals = area_totals(counts(spark, sf_dir))
+    return totals.where(F.col("window_end") < streams.FAR_FUTURE)
+
 
+_IN_STATE = {"bytes_per_slice": streams.BYTES_PER_STATE_SLICE}
 
 QUERIES |= {
-    "speeding_stream": _drained_traffic(
-        lambda s, d, x: streams.speeding_job(x, limits(s, d))
-    ),
-    "avg_speed_stream": _drained_traffic(lambda s, d, x: streams.avg_speed_job(x)),
-    "congestion_top3_stream": _drained_traffic(lambda s, d, x: streams.congestion_job(x)),
-    "area_distinct_stream": _drained_traffic(lambda s, d, x: streams.area_job(x)),
+    "speeding_stream": _traffic_stream(lambda s, d, x: streams.speeding_job(x, limits(s, d))),
+    "avg_speed_stream": _traffic_stream(lambda s, d, x: streams.avg_speed_job(x)),
+    "congestion_top3_stream": _traffic_stream(lambda s, d, x: streams.congestion_job(x)),
+    "area_distinct_stream": _traffic_stream(lambda s, d, x: streams.area_job(x)),
     "area_running_stream": area_running_stream,
-    "cloned_plates_stream": _drained_traffic(lambda s, d, x: streams.clones_job(x)),
-    "dangerous_drivers_all_stream": _drained_traffic(
-        lambda s, d, x: streams.danger_job(x, limits(s, d))
+    "car_tracks_stream": _traffic_stream(
+        lambda s, d, x: streams.tracks_job(x, fx.violations(s, d))
     ),
-    "dangerous_drivers_longest_stream": _drained_traffic(
-        lambda s, d, x: streams.danger_job(x, limits(s, d), "longest")
+    "violation_police_interval_stream": _police_run(streams.to_results(streams.police_match_job)),
+    "violation_police_reconcile_stream": _police_run(streams.to_results(streams.reconcile_job)),
+    # Ordered operators: through the table operators with carried rows (`_stream`), which holds
+    # for cars with very many rows, and by a state machine per car (`_state`).
+    "cloned_plates_stream": _traffic_run(lambda s, d: streams.clones_carried),
+    "cloned_plates_state": _traffic_stream(
+        lambda s, d, x: streams.clones_job(x), **_IN_STATE
     ),
-    "violation_police_interval_stream": _drained_police(streams.police_match_job),
-    "violation_police_reconcile_stream": _drained_police(streams.reconcile_job),
-    "violation_police_slots_stream": _drained_police(streams.slots_job),
-    "car_tracks_stream": _drained_traffic(
-        lambda s, d, x: streams.tracks_job(x, fx.violations(s, d))
+    "dangerous_drivers_all_stream": _danger_carried("all"),
+    "dangerous_drivers_all_state": _traffic_stream(
+        lambda s, d, x: streams.danger_job(x, limits(s, d)), **_IN_STATE
+    ),
+    "dangerous_drivers_longest_stream": _danger_carried("longest"),
+    "dangerous_drivers_longest_state": _traffic_stream(
+        lambda s, d, x: streams.danger_job(x, limits(s, d), "longest"), **_IN_STATE
+    ),
+    "violation_police_slots_stream": _police_run(streams.slots_carried),
+    "violation_police_slots_state": _police_run(
+        streams.to_results(streams.slots_job), **_IN_STATE
     ),
 }

@@ -20,6 +20,7 @@ from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
 from roadstream.sinks.writers import Writer, to_folder, write, write_speeding
 from roadstream.sources.lines import parse_police, parse_traffic, parse_violation, read_lines_stream
+from roadstream.streaming import carried
 from roadstream.streaming.area_counts import area_running_stream
 from roadstream.streaming.machines import (
     cloned_plates_stream, dangerous_drivers_stream, reconcile_slots_stream,
@@ -72,8 +73,8 @@ def area_job(lines: DataFrame, mode: str = "event") -> DataFrame:
     return area.area_distinct(_traffic(lines, IN_ORDER, mode))
 
 
-def area_running_job(lines: DataFrame) -> DataFrame:
-    return area_running_stream(_traffic(lines, IN_ORDER))
+def area_running_job(lines: DataFrame, mode: str = "event") -> DataFrame:
+    return area_running_stream(_traffic(lines, IN_ORDER, mode))
 
 
 def clones_job(lines: DataFrame) -> DataFrame:
@@ -116,43 +117,77 @@ def tracks_job(lines: DataFrame, violations: DataFrame) -> DataFrame:
 
 FAR_FUTURE = 4102444800000  # 2100-01-01: a last row that lets the watermark pass all others
 SLICES = 2  # at least, so that state is carried over
-BYTES_PER_SLICE = 8 << 30
+BYTES_PER_SLICE = 256 << 30
+# Where the rows of one car go through one task, a slice must fit it whole.
+BYTES_PER_STATE_SLICE = 64 << 20
 BYTES_PER_PARTITION = 32 << 20
+ONCE = {"availableNow": True}
+
+# start(folder, **streams) starts a query that writes to <folder>/out.
+Start = Callable[..., StreamingQuery]
+
+
+def to_results(job: Callable[..., DataFrame], output_mode: str = "append") -> Start:
+    """Write what `job` makes of the streams."""
+
+    def start(folder: str, **inputs: DataFrame) -> StreamingQuery:
+        out, checkpoint = to_folder(f"{folder}/out"), f"{folder}/checkpoint"
+        return write(job(**inputs), out, checkpoint, output_mode, ONCE)
+
+    return start
+
+
+def clones_carried(folder: str, lines: DataFrame) -> StreamingQuery:
+    rows = carried.clone_rows(parse_traffic(lines))
+    return carried.run_carried(
+        rows, "action_time", 0, carried.clone_step(), to_folder(f"{folder}/out"),
+        f"{folder}/carried", trigger=ONCE,
+    )
+
+
+def danger_carried(folder: str, lines: DataFrame, limits: DataFrame, mode: str = "all"):
+    return carried.run_carried(
+        parse_traffic(lines), "action_time", 5_000, carried.danger_step(mode),
+        to_folder(f"{folder}/out"), f"{folder}/carried",
+        prepare=lambda batch: danger.gross_passes(batch, limits), trigger=ONCE,
+    )
+
+
+def slots_carried(folder: str, violation_lines: DataFrame, police_lines: DataFrame):
+    rows = carried.slot_sides(parse_violation(violation_lines), parse_police(police_lines))
+    return carried.run_carried(
+        rows, "at", 2_000, carried.slot_step(), to_folder(f"{folder}/out"),
+        f"{folder}/carried", sides="side", trigger=ONCE,
+    )
 
 
 def drain(
     spark: SparkSession,
     inputs: dict[str, DataFrame],
-    job: Callable[..., DataFrame],
-    output_mode: str = "append",
+    start: Start,
+    bytes_per_slice: int = BYTES_PER_SLICE,
 ) -> DataFrame:
-    """Results of `job` over all of `inputs` (name -> rows of `at`, `value`), taken in as a
-    stream. What waits in the state is never more than a slice and the rows in the delay."""
+    """Results over all of `inputs` (name -> rows of `at`, `value`), taken in as streams. What
+    waits in the state is never more than a slice and the rows in the delay."""
     base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    bounds, slice_bytes = _slices(inputs)
+    bounds, slice_bytes = _slices(inputs, bytes_per_slice)
     with _state_partitions(spark, slice_bytes):
-        result = None
         for lo, hi in zip(bounds, bounds[1:]):
             for name, rows in inputs.items():
                 part = rows.where((F.col("at") >= lo) & (F.col("at") < hi))
                 part.select("value").write.mode("append").text(f"{base}/in/{name}")
             streams = {name: read_lines_stream(spark, f"{base}/in/{name}") for name in inputs}
-            result = job(**streams)
-            write(
-                result, to_folder(f"{base}/out"), f"{base}/checkpoint", output_mode,
-                {"availableNow": True},
-            ).awaitTermination()
-    schema = T.StructType(result.schema.fields)
-    return spark.read.schema(schema).parquet(f"{base}/out").select(*schema.fieldNames())
+            start(base, **streams).awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
-def _slices(inputs: dict[str, DataFrame]) -> tuple[list[int], int]:
+def _slices(inputs: dict[str, DataFrame], bytes_per_slice: int) -> tuple[list[int], int]:
     """Bounds in time of slices with about equally many rows, and the bytes of one slice. All
     inputs share the bounds, so that neither runs ahead."""
     both = [df.select("at", F.octet_length("value").alias("b")) for df in inputs.values()]
     rows = reduce(DataFrame.unionByName, both)
     size = rows.agg(F.sum("b")).first()[0] or 0
-    n = max(SLICES, -(-size // BYTES_PER_SLICE))
+    n = max(SLICES, -(-size // bytes_per_slice))
     inner = rows.approxQuantile("at", [i / n for i in range(1, n)], 0.1 / n)
     return [0, *sorted({int(b) for b in inner}), FAR_FUTURE + 1], size // n
 

@@ -27,7 +27,7 @@ def area_running_stream(
     shard = F.pmod(F.xxhash64(F.lit("shard"), "car"), F.lit(shards)).cast("int")
     rows = traffic.select(
         "area_id",
-        ((floor_div(F.col("action_time"), window_ms) + 1) * window_ms).alias("window_end"),
+        ((floor_div(F.unix_millis("event_ts"), window_ms) + 1) * window_ms).alias("window_end"),
         shard.alias("shard"),
         "event_ts",
         bit_offsets(F.col("car"), shard_bits).alias("bits"),

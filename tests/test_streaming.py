@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from data import BASE, limits_table, lines, tuples
 from roadstream.operators.area import area_distinct
 from roadstream.operators.clones import cloned_plates, once_per_day
-from roadstream.operators.danger import dangerous_drivers
+from roadstream.operators.danger import dangerous_drivers, gross_passes
 from roadstream.operators.flow import avg_speed, congestion_topn
 from roadstream.operators.police import interval_join, reconcile, reconcile_slots
 from roadstream.operators.speeding import monitor_limits, speeding
@@ -24,6 +24,7 @@ from roadstream.sinks.writers import (
 from roadstream.sources.lines import (
     parse_police, parse_traffic, parse_violation, read_lines, read_lines_stream,
 )
+from roadstream.streaming import carried
 from roadstream.streaming.area_counts import area_running_stream, area_totals
 from roadstream.streaming.machines import ClonePairs, GrossRuns, Slots
 from roadstream.streaming.watermark import IN_ORDER, with_watermark
@@ -207,7 +208,7 @@ spark = build_session("elsewhere", "local[2]", spark__ui__enabled="false")
 rows = [f"{{1592722000000 + 1000 * i}},1,1,A,1.0,1,1" for i in range(4)]
 rows.append("4102444800000,1,1,closing,1.0,1,1")
 lines = spark.createDataFrame([(int(r.split(",")[0]), r) for r in rows], "at bigint, value string")
-print("alarms", streams.drain(spark, {{"lines": lines}}, streams.clones_job).count())
+print("alarms", streams.drain(spark, {{"lines": lines}}, streams.to_results(streams.clones_job)).count())
 """)
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True,
                           text=True, timeout=300)
@@ -275,6 +276,63 @@ def test_jobs_also_take_tables(spark, job):
     assert getattr(streams, job)(lines(spark, flat(batches)), *limits).count() > 0
 
 
+@pytest.mark.parametrize("split", [{}, {"hot_rows": 4, "cell_rows": 3}])
+@pytest.mark.parametrize("name", ["clones", "danger_all", "danger_longest"])
+def test_carried_rows(spark, tmp_path, name, split):
+    """Micro-batches through the table operators, late rows, and hot cars in every batch."""
+    batches = traffic_batches(n=150, n_batches=4, shuffle_ms=4_000)
+    limits = monitor_limits(limits_table(spark, LIMITS))
+    table = parse_traffic(lines(spark, flat(batches)))
+    stream = parse_traffic(read_lines_stream(spark, put(tmp_path / "in", batches), 1))
+    kw = {}
+    if name == "clones":
+        stream, step, want = carried.clone_rows(stream), carried.clone_step(**split), (
+            cloned_plates(table))
+    else:
+        mode = name.removeprefix("danger_")
+        step = carried.danger_step(mode, **split)
+        kw["prepare"] = lambda batch: gross_passes(batch, limits)
+        want = dangerous_drivers(table, limits, mode=mode).drop("start_no")
+    carried.run_carried(
+        stream, "action_time", 5_000, step, to_folder(f"{tmp_path}/out"), f"{tmp_path}/carried",
+        trigger={"availableNow": True}, **kw).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert tuples(got, *want.columns) == tuples(want, *want.columns)
+    assert got.select("batch_id").distinct().count() > 2
+    # Only what may still matter is carried over: at the end, nothing but the closing row.
+    last = max(int(p.name) for p in (tmp_path / "carried" / "kept").iterdir())
+    assert spark.read.parquet(f"{tmp_path}/carried/kept/{last}").count() <= 1
+
+
+def test_carried_rows_drop_what_is_late(spark, tmp_path):
+    row = "{},1,1,A,1.0,1,1"
+    at = [[BASE, BASE + 60_000], [BASE + 1_000, BASE + 61_000], [CLOSING * 1000]]
+    batches = [[row.format(t) for t in ts] for ts in at]
+    stream = parse_traffic(read_lines_stream(spark, put(tmp_path / "in", batches), 1))
+    carried.run_carried(
+        carried.clone_rows(stream), "action_time", 5_000, carried.clone_step(),
+        to_folder(f"{tmp_path}/out"), f"{tmp_path}/carried",
+        trigger={"availableNow": True}).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert tuples(got, "first_time", "second_time") == [(BASE + 60_000, BASE + 61_000)]
+
+
+@pytest.mark.parametrize("split", [{}, {"hot_rows": 4, "cell_rows": 3}])
+def test_carried_slots(spark, tmp_path, split):
+    v_batches, p_batches = police_batches()
+    v_path, p_path = put(tmp_path / "v", v_batches), put(tmp_path / "p", p_batches)
+    rows = carried.slot_sides(parse_violation(read_lines_stream(spark, v_path, 1)),
+                              parse_police(read_lines_stream(spark, p_path, 1)))
+    carried.run_carried(
+        rows, "at", 2_000, carried.slot_step(**split), to_folder(f"{tmp_path}/out"),
+        f"{tmp_path}/carried", sides="side", trigger={"availableNow": True}).awaitTermination()
+    want = reconcile_slots(parse_violation(lines(spark, flat(v_batches))),
+                           parse_police(lines(spark, flat(p_batches))))
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in want.columns]
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert tuples(got, *columns) == tuples(want, *columns)
+
+
 # The machines by themselves.
 
 
