@@ -61,6 +61,6 @@ def bit_offsets(plate: Column, bits: int) -> Column:
     )
 
 
-def now_ms() -> Column:
-    """Processing-time stamp for warnings."""
-    return F.unix_millis(F.current_timestamp())
+def with_warning_time(df: DataFrame, name: str = "warned_at") -> DataFrame:
+    """Add the processing time as epoch ms: when a warning was raised, not when it happened."""
+    return df.withColumn(name, F.unix_millis(F.current_timestamp()))

@@ -26,7 +26,8 @@ def area_distinct(traffic: DataFrame, window_ms: int = TUMBLING_MS) -> DataFrame
     neither a hot area nor a hot car gathers in one task.
     """
     if traffic.isStreaming:
-        return _area_distinct_stream(traffic, window_ms)
+        firsts = traffic.select("area_id", "car", _window(window_ms)).dropDuplicates()
+        return _per_window(firsts, F.count("*"))
     return (
         traffic.groupBy("area_id", _start(window_ms))
         .agg(F.countDistinct("car").alias("car_count"))
@@ -34,19 +35,17 @@ def area_distinct(traffic: DataFrame, window_ms: int = TUMBLING_MS) -> DataFrame
     )
 
 
-def _area_distinct_stream(traffic: DataFrame, window_ms: int) -> DataFrame:
-    window = F.window("event_ts", f"{window_ms} milliseconds")
-    return (
-        traffic.select("area_id", "car", window)
-        .dropDuplicates(["area_id", "car", "window"])
-        .groupBy("window", "area_id")
-        .agg(F.count("*").alias("car_count"))
-        .select(
-            "area_id",
-            F.unix_millis("window.start").alias("window_start"),
-            F.unix_millis("window.end").alias("window_end"),
-            "car_count",
-        )
+def _window(window_ms: int) -> Column:
+    return F.window("event_ts", f"{window_ms} milliseconds")
+
+
+def _per_window(rows: DataFrame, cars: Column) -> DataFrame:
+    """Aggregate a stream with a `window` column per area and window."""
+    return rows.groupBy("window", "area_id").agg(cars.alias("car_count")).select(
+        "area_id",
+        F.unix_millis("window.start").alias("window_start"),
+        F.unix_millis("window.end").alias("window_end"),
+        "car_count",
     )
 
 
@@ -111,9 +110,15 @@ def _running_count(rows, counted, order, window_ms, split) -> DataFrame:
 def area_approx_distinct(
     traffic: DataFrame, window_ms: int = RUNNING_MS, rsd: float = 0.02
 ) -> DataFrame:
-    """Approximate distinct cars per area and window from a mergeable sketch of fixed size."""
+    """Approximate distinct cars per area and window from a mergeable sketch of fixed size.
+
+    On a stream in update mode this gives running counts, combined before they are shuffled.
+    """
+    cars = F.approx_count_distinct("car", rsd)
+    if traffic.isStreaming:
+        return _per_window(traffic.select("area_id", "car", _window(window_ms)), cars)
     return (
         traffic.groupBy("area_id", _start(window_ms))
-        .agg(F.approx_count_distinct("car", rsd).alias("car_count"))
+        .agg(cars.alias("car_count"))
         .select("area_id", "window_start", _end(window_ms), "car_count")
     )

@@ -6,6 +6,7 @@ from roadstream.functions.scalar import floor_div, track_row_key
 from roadstream.operators.ordered import numbered
 from roadstream.operators.skew import BROADCAST_ROWS, lookup_join
 from roadstream.schemas import TRACK_COLUMNS, pass_order
+from roadstream.session import snapshot
 
 BATCH_ROWS = 10
 
@@ -13,8 +14,8 @@ BATCH_ROWS = 10
 def only_violators(
     traffic: DataFrame, violations: DataFrame, broadcast_rows: int = BROADCAST_ROWS, **skew
 ) -> DataFrame:
-    """Passes of cars that are on the violation list."""
-    listed = violations.select("car").distinct()
+    """Passes of cars that are on the violation list as it is now."""
+    listed = snapshot(violations.select("car").distinct())
     return lookup_join(traffic, listed, "car", "left_semi", broadcast_rows, **skew)
 
 

@@ -77,6 +77,10 @@ def area_running_job(lines: DataFrame, mode: str = "event") -> DataFrame:
     return area_running_stream(_traffic(lines, IN_ORDER, mode))
 
 
+def area_approx_job(lines: DataFrame, mode: str = "event") -> DataFrame:
+    return area.area_approx_distinct(_traffic(lines, IN_ORDER, mode))
+
+
 def clones_job(lines: DataFrame) -> DataFrame:
     traffic = _traffic(lines, IN_ORDER)
     return (cloned_plates_stream if lines.isStreaming else clones.cloned_plates)(traffic)

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "roadstream", master: str | None = None, **conf) -> SparkSession:
@@ -38,3 +38,10 @@ def shared_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def snapshot(df: DataFrame) -> DataFrame:
+    """`df` as it is now, stored in the shared folder: computed once however often it is used,
+    and a lost executor cannot bring in a later state of its source."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

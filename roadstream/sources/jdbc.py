@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadstream.operators.speeding import monitor_limits as limits_of
 from roadstream.schemas import MONITOR_INFO, VIOLATION
-from roadstream.session import ensure_checkpoint_dir
+from roadstream.session import snapshot
 
 MONITOR_TABLE = "t_monitor_info"
 VIOLATION_TABLE = "t_violation_list"
@@ -23,26 +23,20 @@ def read_table(spark: SparkSession, connection: dict[str, str], table: str) -> D
 
 def monitor_limits(
     spark: SparkSession, connection: dict[str, str], version: str | None = None,
-    snapshot: bool = False,
+    once: bool = False,
 ) -> DataFrame:
     """Limits per checkpoint. The columns and `speed_limit > 0` are pushed to the database.
 
     As the static side of a stream the table is read anew each micro-batch, which follows its
-    changes; `snapshot=True` reads it once instead.
+    changes; `once=True` reads it now and never again.
     """
     columns = [*MONITOR_INFO.fieldNames(), *([version] if version else [])]
     limits = limits_of(read_table(spark, connection, MONITOR_TABLE).select(*columns), version)
-    return _snapshot(limits) if snapshot else limits
+    return snapshot(limits) if once else limits
 
 
 def violation_list(
-    spark: SparkSession, connection: dict[str, str], snapshot: bool = False
+    spark: SparkSession, connection: dict[str, str], once: bool = False
 ) -> DataFrame:
     listed = read_table(spark, connection, VIOLATION_TABLE).select(*VIOLATION.fieldNames())
-    return _snapshot(listed) if snapshot else listed
-
-
-def _snapshot(df: DataFrame) -> DataFrame:
-    """Read once: a lost executor must not bring in a later state of the table."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return snapshot(listed) if once else listed

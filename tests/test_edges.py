@@ -9,6 +9,7 @@ from data import BASE, limits_table, lines, passes, police, tuples, violations
 from roadstream.functions import messages
 from roadstream.functions.scalar import (
     bit_offsets, day_start, floor_div, mean_speed, speed_units, track_row_key, with_event_time,
+    with_warning_time,
 )
 from roadstream.operators.area import area_bloom_distinct, area_distinct, area_running_distinct
 from roadstream.operators.clones import as_violations, cloned_plates, once_per_day
@@ -295,3 +296,5 @@ def test_times(spark):
     assert abs(now - datetime.datetime.now()) < datetime.timedelta(days=2)
     with pytest.raises(ValueError):
         with_event_time(ts, mode="other")
+    before = datetime.datetime.now(datetime.UTC).timestamp() * 1000
+    assert with_warning_time(ts).first()["warned_at"] >= int(before)

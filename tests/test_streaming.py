@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from data import BASE, limits_table, lines, tuples
-from roadstream.operators.area import area_distinct
+from roadstream.operators.area import area_approx_distinct, area_distinct
 from roadstream.operators.clones import cloned_plates, once_per_day
 from roadstream.operators.danger import dangerous_drivers, gross_passes
 from roadstream.operators.flow import avg_speed, congestion_topn
@@ -170,6 +170,18 @@ def test_area_running_counts(spark, tmp_path, bits):
     assert all(c == sorted(c) for c in seen) and max(map(len, seen)) > 1
 
 
+def test_area_sketches_grow_with_the_stream(spark, tmp_path):
+    batches = traffic_batches()
+    got = run(spark, streams.area_approx_job, tmp_path, "update",
+              lines=put(tmp_path / "in", batches))
+    keys = ["area_id", "window_start", "window_end"]
+    final = got.groupBy(*keys).agg(F.max("car_count").alias("car_count"))
+    want = area_approx_distinct(parse_traffic(lines(spark, flat(batches))))
+    closed = final.where(F.col("window_end") < CLOSING * 1000)
+    assert tuples(closed, *keys, "car_count") == tuples(want, *keys, "car_count")
+    assert got.count() > final.count()
+
+
 def test_state_is_left_only_where_needed(spark, tmp_path):
     """Once the watermark is past every row, no car is remembered."""
     batches = traffic_batches()
