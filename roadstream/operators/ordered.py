@@ -151,8 +151,8 @@ def ordered(
 ) -> Ordered:
     """Prepare `df` for running values per `keys` in `order`, which must be total.
 
-    Without hot keys this adds nothing but a pre-combined count per key. `sizes` may name a frame with the
-    same keys and about as many rows per key that is cheaper to count.
+    Without hot keys this adds nothing but a pre-combined count per key. `sizes` may name a frame
+    with the same keys and about as many rows per key that is cheaper to count.
     """
     hot = hot_keys(df if sizes is None else sizes, keys, hot_rows)
     if not hot:
@@ -164,7 +164,9 @@ def ordered(
     return Ordered(df.join(marks, keys, "left_anti"), cells, tuple(keys), tuple(order))
 
 
-def numbered(df: DataFrame, order: list[str], name: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+def numbered(
+    df: DataFrame, order: list[str], name: str, cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Number all rows from 0 in one total `order`.
 
     Rows are counted within range partitions, and each partition is offset by those before it.

@@ -1,5 +1,7 @@
 """Matching of violations with police actions on the same car."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstream.functions.scalar import floor_div
@@ -86,15 +88,19 @@ def reconcile_slots(
 
 
 def slot_outcomes(
-    sides: DataFrame, wait_ms: int, split: dict
+    sides: DataFrame,
+    wait_ms: int,
+    split: dict,
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     """The pairs, and the rows without a partner with their outcome. `_is_last` marks those that
-    no row of their car follows."""
+    no row of their car follows. `hold` may cache what both are made of."""
     fields = ["at", "side", *SLOT_FIELDS]
     rows = ordered(sides.select("car", *fields), ["car"], fields, **split)
     gap = F.col("at") - F.col(f"{PREV}.at")
     fits = (F.col("side") != F.col(f"{PREV}.side")) & (gap <= wait_ms)
-    after = pair_off(rows, fields, fits, _next=following(F.struct("at", "_fits"))).result()
+    next_row = following(F.struct("at", "_fits"))
+    after = hold(pair_off(rows, fields, fits, _next=next_row).result())
 
     is_v, prev_v = F.col("side") == 0, F.col(f"{PREV}.side") == 0
     pairs = after.where(F.col("_second")).select(

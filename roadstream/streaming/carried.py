@@ -20,9 +20,12 @@ from roadstream.operators.ordered import following
 from roadstream.operators.police import BOUND_MS, SLOT_FIELDS, slot_outcomes, slot_rows
 from roadstream.sinks.writers import Writer, write
 
-# step(due, old, now) -> (results, kept): `due` are the rows up to the watermark `now` together
-# with those kept before at the watermark `old`; `kept` are rows of `due`.
-Step = Callable[[DataFrame, int, int], tuple[DataFrame, DataFrame]]
+Hold = Callable[[DataFrame], DataFrame]
+
+# step(due, old, now, hold) -> (results, kept): `due` are the rows up to the watermark `now`
+# together with those kept before at the watermark `old`; `kept` are rows of `due`. `hold(df)`
+# caches what both results and kept rows are made of, until the micro-batch is done.
+Step = Callable[[DataFrame, int, int, Hold], tuple[DataFrame, DataFrame]]
 
 
 def run_carried(
@@ -39,13 +42,19 @@ def run_carried(
     """Run `step` over a stream. `folder` takes the carried rows and Spark's checkpoint.
 
     `prepare` makes the rows of the step from those of a micro-batch, which may be fewer: the
-    watermark goes by all of them. It is `delay_ms` behind the newest row; with a column `sides` of two values (0, 1),
-    behind the newest of the side that is further back."""
+    watermark goes by all of them. It is `delay_ms` behind the newest row; with a column `sides`
+    of two values (0, 1), behind the newest of the side that is further back.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, held = batch.sparkSession, []
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return df
+
         old, newest = _read_progress(spark, folder, batch_id - 1)
-        fresh = batch.where(F.col(time_col) > old).persist()  # rows further behind are late
+        fresh = hold(batch.where(F.col(time_col) > old))  # rows further behind are late
         side = F.col(sides) if sides else F.lit(0)
         for r in fresh.groupBy(side.alias("s")).agg(F.max(time_col).alias("t")).collect():
             newest[r["s"]] = max(r["t"], newest.get(r["s"], r["t"]))
@@ -55,7 +64,7 @@ def run_carried(
         known = prepare(fresh)
         if batch_id > 0:
             known = known.unionByName(_read_kept(spark, folder, batch_id - 1))
-        results, still_open = step(known.where(F.col(time_col) <= now), old, now)
+        results, still_open = step(known.where(F.col(time_col) <= now), old, now, hold)
         writer(results, batch_id)
         waiting = known.where(F.col(time_col) > now).unionByName(still_open)
         waiting.write.mode("overwrite").parquet(_path(folder, "kept", batch_id))
@@ -63,7 +72,8 @@ def run_carried(
         spark.createDataFrame(progress, "watermark bigint, side int, newest bigint").coalesce(
             1
         ).write.mode("overwrite").parquet(_path(folder, "progress", batch_id))
-        fresh.unpersist()
+        for df in held:
+            df.unpersist()
 
     return write(rows, each, f"{folder}/checkpoint", trigger=trigger)
 
@@ -91,8 +101,8 @@ def clone_rows(traffic: DataFrame) -> DataFrame:
 def clone_step(gap_sec: int = GAP_SEC, **split) -> Step:
     """Keeps the last pass of a car while it waits for a partner."""
 
-    def step(due: DataFrame, old: int, now: int) -> tuple[DataFrame, DataFrame]:
-        paired = paired_passes(due, gap_sec, split, _next=following(F.lit(True)))
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        paired = hold(paired_passes(due, gap_sec, split, _next=following(F.lit(True))))
         waits = ~F.col("_second") & F.col("_next").isNull()
         near = F.col("action_time") > now - (gap_sec + 1) * 1000
         return clone_alarms(paired), paired.where(waits & near).select(*due.columns)
@@ -106,7 +116,8 @@ def danger_step(
     """Keeps the gross passes of the last `within_ms`. A match is new if it ends after the old
     watermark; a longest match is known when its time is over. Takes rows of `gross_passes`."""
 
-    def step(due: DataFrame, old: int, now: int) -> tuple[DataFrame, DataFrame]:
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        due = hold(due)
         found = matches_of(due, times, within_ms, mode, split).drop("start_no")
         if mode == "all":
             new = F.col("end_time") > old
@@ -121,8 +132,8 @@ def danger_step(
 def slot_step(wait_ms: int = BOUND_MS, **split) -> Step:
     """Keeps the last row of a car while its slot is still open. Takes rows of `slot_rows`."""
 
-    def step(due: DataFrame, old: int, now: int) -> tuple[DataFrame, DataFrame]:
-        pairs, alone = slot_outcomes(due, wait_ms, split)
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        pairs, alone = slot_outcomes(due, wait_ms, split, hold)
         waits = F.col("_is_last") & (F.col("at") > now - wait_ms)
         done = alone.where(~waits).select("outcome", "car", *SLOT_FIELDS)
         return pairs.unionByName(done), alone.where(waits).select(*due.columns)

@@ -58,7 +58,9 @@ def _names(schema: str) -> list[str]:
 def _runner(time_col, order, fields, whole, machine, names):
     at, places = fields.index(time_col), [fields.index(c) for c in order]
 
-    def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def run(
+        key: tuple, frames: Iterable[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
         kept, memory = json.loads(state.get[0]) if state.exists else ([], None)
         due, waiting = [], []
