@@ -11,19 +11,19 @@ PRESSED = 1_500_000  # microseconds of event time per millisecond of action time
 
 
 def traffic(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
-    return _passes(spark, sf_dir, raw_time).select(
+    return passes(spark, sf_dir, raw_time).select(
         "event_id", "action_time", "monitor_id", "camera_id", "car", "speed", "road_id", "area_id"
     )
 
 
 def violations(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
-    return _passes(spark, sf_dir, raw_time).where("event_type = 'error'").selectExpr(
+    return passes(spark, sf_dir, raw_time).where("event_type = 'error'").selectExpr(
         "car", "'error' AS violation", "action_time AS create_time"
     )
 
 
 def police_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _passes(spark, sf_dir).where("event_type = 'purchase'").selectExpr(
+    return passes(spark, sf_dir).where("event_type = 'purchase'").selectExpr(
         "concat('J', lpad(cast(event_id % 50 AS string), 4, '0')) AS police_id",
         "car",
         "'done' AS action_status",
@@ -40,9 +40,10 @@ def monitor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _passes(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
+def passes(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
+    """All events as passes, with their `event_type`."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    # A difference of zone-free timestamps does not depend on the session time zone.
+    # Both ends are read in the session time zone, so its offset cancels out.
     micros = "timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)"
     step = 1000 if raw_time else PRESSED
     return events.select("event_type", *_pass_columns(f"{EPOCH_MS} + {micros} div {step}"))

@@ -151,7 +151,7 @@ def track_batches(spark, sf_dir):
 def traffic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traffic as wire lines. Purchases lack the last field, sign-ups have no number as speed,
     and clicks come with a field too many: bad, bad and good lines to the parser."""
-    t = fx._passes(spark, sf_dir)
+    t = fx.passes(spark, sf_dir)
     speed = F.when(F.col("event_type") == "signup", "fast").otherwise(
         F.col("speed").cast("string")
     )
