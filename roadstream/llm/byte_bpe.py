@@ -45,12 +45,6 @@ class Vocabulary:
             if pair:
                 self.joined[pair] = rank
 
-    @classmethod
-    @lru_cache(maxsize=2)
-    def load(cls, path: str) -> Vocabulary:
-        with open(path, "rb") as f:
-            return cls({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
-
     def _last_merge(self, token: bytes) -> tuple[int, int] | None:
         """The two tokens that merging makes `token` of last. Its bytes are merged without the token itself."""
         parts = [self.rank[token[i:i + 1]] for i in range(len(token))]
@@ -154,9 +148,15 @@ class Encoder(dict):
         return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    with open(path, "rb") as f:
+        return Vocabulary({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(Vocabulary.load(path), pattern)
+    return Encoder(vocabulary(path), pattern)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -177,7 +177,7 @@ def decode(encoded: DataFrame, path: str, kept: str = "doc_id bigint") -> DataFr
     """`encoded` with the bytes that its column `ids` stands for, as `decoded`. `kept`: its other columns' schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = Vocabulary.load(path).bytes.__getitem__
+        raw = vocabulary(path).bytes.__getitem__
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 ids = part.column(part.num_columns - 1)

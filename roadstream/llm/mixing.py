@@ -62,7 +62,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
 
 def multipliers(sizes: DataFrame, goals: DataFrame, most: float = MOST) -> DataFrame:
     """source, scale, l: the dual solution. Sizes count in units of `scale`. A source that must give all it can has l = null."""
-    scale = sizes.groupBy("source").agg((F.sum(F.col("size") * F.col("size") * F.col("n")) / F.sum(F.col("size") * F.col("n"))).alias("scale"))
+    scale = sizes.groupBy("source").agg(F.try_divide(F.sum(F.col("size") * F.col("size") * F.col("n")), F.sum(F.col("size") * F.col("n"))).alias("scale"))
     state = stored(
         goals.join(scale.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
             "source", "scale", "target",
@@ -85,7 +85,7 @@ def multipliers(sizes: DataFrame, goals: DataFrame, most: float = MOST) -> DataF
         miss = F.col("now") - F.col("target")
         low = F.when(miss < 0, l).otherwise(F.col("low"))
         high = F.when(miss > 0, l).otherwise(F.col("high"))
-        newton = l - miss / F.col("slope")
+        newton = l - F.try_divide(miss, F.col("slope"))
         inside = F.coalesce(newton > low, newton > l - 8, F.lit(False)) & F.coalesce(newton < high, newton < l + 8, F.lit(False))
         other = F.when(low.isNull(), high - 2 * F.greatest(F.abs(high), F.lit(1.0))).when(
             high.isNull(), low + 2 * F.greatest(F.abs(low), F.lit(1.0))).otherwise((low + high) / 2)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstream.llm import byte_bpe, common, exact_dedup, mixing
+from roadstream.llm import byte_bpe, common, exact_dedup, language, mixing, quality
 
 #: The rank file of the queries. Executors read it where it is installed.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -15,6 +15,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(common.documents(spark, sf_dir)),
     "op4_mixing": lambda spark, sf_dir: mixing.mix(common.documents(spark, sf_dir)),
+    "op6_quality": lambda spark, sf_dir: quality.classify(common.documents(spark, sf_dir), common.labels(spark, sf_dir)),
+    "op7_language": lambda spark, sf_dir: language.classify(common.documents(spark, sf_dir)),
     "op8_byte_bpe": lambda spark, sf_dir: byte_bpe.round_trip(
         common.documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).drop("ids"),
 }

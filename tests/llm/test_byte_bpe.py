@@ -8,19 +8,20 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roadstream.llm.byte_bpe import Encoder, PrefixTable, Vocabulary, encoder, round_trip
+from roadstream.llm.byte_bpe import vocabulary as load
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 
 
 @pytest.fixture(scope="module")
 def want():
-    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=Vocabulary.load(PATH).rank, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=load(PATH).rank, special_tokens={})
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text() | st.text("ab cd' \n\t\x1c\x85\xa0　é1２١.", max_size=60))
 def test_as_the_library(text):
-    want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=Vocabulary.load(PATH).rank, special_tokens={})
+    want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=load(PATH).rank, special_tokens={})
     assert encoder(PATH, P.PATTERN).encode(text) == want.encode_ordinary(text)
 
 
@@ -55,7 +56,7 @@ def test_any_merges():
 
 
 def test_appends_and_edits():
-    vocabulary, rng = Vocabulary.load(PATH), random.Random(5)
+    vocabulary, rng = load(PATH), random.Random(5)
     text = "".join(rng.choice("theanreingostr é") for _ in range(3000)).encode()
     table = PrefixTable(vocabulary)
     for i in range(0, 3000, 7):
@@ -71,7 +72,7 @@ def test_appends_and_edits():
 
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr("roadstream.llm.byte_bpe.REMEMBERED", 50)
-    own = Encoder(Vocabulary.load(PATH), P.PATTERN)
+    own = Encoder(load(PATH), P.PATTERN)
     text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x{i}" for i in range(2000))
     assert own.encode(text) == encoder(PATH, P.PATTERN).encode(text)
     assert len(own) <= 50 and len(own.older) <= 50
