@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstream.llm import byte_bpe, common, exact_dedup, language, mixing, ngram_join, quality
+from roadstream.llm import byte_bpe, common, exact_dedup, language, mixing, ngram_join, quality, secrets
 
 #: The rank file of the queries. Executors read it where it is installed.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(common.documents(spark, sf_dir)),
+    "op2_secrets": lambda spark, sf_dir: secrets.scan(common.documents(spark, sf_dir)),
     "op3_ngram_join": lambda spark, sf_dir: ngram_join.join(common.documents(spark, sf_dir)),
     "op4_mixing": lambda spark, sf_dir: mixing.mix(common.documents(spark, sf_dir)),
     "op6_quality": lambda spark, sf_dir: quality.classify(common.documents(spark, sf_dir), common.labels(spark, sf_dir)),
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_secrets": secrets.SQL,
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)

@@ -1,0 +1,60 @@
+import random
+import re
+from hashlib import sha256
+
+import duckdb
+import pyarrow as pa
+
+from roadstream.llm import secrets
+from roadstream.llm.secrets import CERTAIN, KINDS, REACH, scan
+
+HEX = "0123456789abcdef" * 2
+ROWS = [
+    'token = "' + HEX + '"', "password: short", "secret: token: abcdefghij", "PassWord='abcdefgh12' AKIA" + "A1" * 8, "AKIAABC AKIA" + "Z" * 12,
+    None, "", "é\U0001f600 api_key=ABCDEFGH9 x", "user=bob and Abc123Abc123Abc123Abc1", "user=bob " + "far " * 60 + "Abc123Abc123Abc123Abc1",
+    "https://x.example/a Abc123Abc123Abc123Abc1", "https://x.example/alone", "user: alone", "Abc123Abc123Abc123Abc1 alone",
+    "https://x.example/a user_name: bob", HEX * 9000 + " login=me", "apikey:==abcdefg tokentoken=abcdefgh", "token=token=abcdefgh",
+    HEX + HEX[:5].upper(), "Abc123Abc123Abc123Abc1 " * 30 + "client_id=abc", 'token = "' + HEX + '"',
+]
+
+
+def brute(text):
+    text = text or ""
+    found = []
+    for rank, (kind, (role, expression, group, least, contains)) in enumerate(KINDS.items()):
+        for m in re.finditer(expression, text):
+            if len(m.group(group)) >= least and all(re.search(x, m.group()) for x in contains):
+                found.append((m.start(), rank, m.end(), kind, role))
+    certain = [x for x in found if x[3] in CERTAIN]
+    weak = [x for x in found if x[3] not in CERTAIN and not any(b[0] < x[2] and b[2] > x[0] for b in certain)
+            and any(b[4] != x[4] and b[0] < x[2] + REACH and b[2] > x[0] - REACH for b in found)]
+    listed = lambda xs: ",".join(f"{x[3]}:{x[0]}:{x[2]}" for x in sorted(xs))
+    return (*(sum(x[3] == k for x in certain) for k in CERTAIN), sha256(listed(certain).encode()).hexdigest(), listed(certain + weak))
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i // 2, t, 1, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, rid int, cell string")
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(1)
+    pieces = ["token=", "secret: ", "AKIA", "A1B2C3D4E5F6G7H8", HEX, " ", "\n", "é", '"', "user=", "bob", "https://h.example/p", "Xy9" * 8, "word ", "=", ":", "api_key"]
+    texts = ROWS + ["".join(rng.choices(pieces, k=rng.randrange(1, 60))) for _ in range(400)]
+    got = scan(frame(spark, texts))
+    assert got.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    want = sorted((i // 2, *brute(t)) for i, t in enumerate(texts))
+    assert sorted(map(tuple, got.collect())) == want
+    documents = pa.table({"doc_id": [i // 2 for i in range(len(texts))], "text": texts})  # noqa: F841
+    assert sorted(duckdb.sql(secrets.SQL).fetchall()) == want
+
+
+def test_weak_candidates_need_company(spark):
+    got = {r["doc_id"]: r["spans"] for r in scan(spark.createDataFrame(list(enumerate(ROWS)), "doc_id bigint, text string")).collect()}
+    assert got[8] == "user:0:8,opaque:13:35" and got[9] == "" and got[11] == got[12] == got[13] == ""
+    assert got[10] == "endpoint:0:19,opaque:20:42" and "user" in got[14] and "endpoint" in got[14]
+
+
+def test_no_python_in_the_plan_and_empty(spark):
+    got = scan(frame(spark, []))
+    assert got.count() == 0
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
