@@ -12,11 +12,16 @@ are independent, so ties, repeated rows and empty tables need no rule; only doc_
 from __future__ import annotations
 
 import base64
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +29,14 @@ from roadstream.llm.common import whole_text
 
 #: Fixed value: the White_Space property, as the pattern's \s means it; `regex` also takes \x1c to \x1f for white space.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Texts without characters from here on are split by `re`, with the classes of letters, numbers and spaces written out.
+FAR = "\u0250"
 #: Documents that are encoded before their result is handed to Spark.
 ROWS = 512
 #: Pieces whose tokens a worker remembers in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+#: Pairs of tokens that a worker remembers to stay apart or not.
+PAIRS = 300_000
 
 
 class Vocabulary:
@@ -37,13 +46,18 @@ class Vocabulary:
         self.rank = ranks
         self.longest = max(map(len, ranks), default=0)
         self.bytes = {r: t for t, r in ranks.items()}
-        self.text = {r: str(r) for r in ranks.values()}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.joined: dict[tuple[int, int], int] = {}
+        self.known: dict[tuple[int, int], bool] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):  # parts have lower ranks than what they make
             self.halves[rank] = pair = self._last_merge(token)
             if pair:
                 self.joined[pair] = rank
+        self.ending = ahocorasick.Automaton()  # all tokens that end at a byte; bytes are written as the code points of equal number
+        for token, rank in ranks.items():
+            self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.ending.make_automaton()
+        self.table = pa.array([self.bytes.get(r, b"") for r in range(max(self.bytes, default=0) + 1)], pa.binary())
 
     def _last_merge(self, token: bytes) -> tuple[int, int] | None:
         """The two tokens that merging makes `token` of last. Its bytes are merged without the token itself."""
@@ -89,16 +103,26 @@ class PrefixTable:
         return self
 
     def _fill(self, end: int) -> None:
-        rank, apart, longest, s, last = (
-            self.vocabulary.rank, self.vocabulary.apart, self.vocabulary.longest, self.piece, self.last)
-        for i in range(len(last) + 1, end + 1):
-            for j in range(max(0, i - longest), i):
-                token = rank.get(s[j:i])
-                if token is not None and (not j or apart(last[j - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError(f"no token ends at byte {i}: the vocabulary lacks a byte")
+        known, last, filled = self.vocabulary.known, self.last, len(self.last)
+        begin = max(0, filled - self.vocabulary.longest)
+        text = self.piece[begin:end].decode("latin-1")
+        for at, (token, size) in self.vocabulary.ending.iter(text):
+            at += begin
+            if at != filled:
+                continue
+            if size <= at:
+                pair = last[at - size], token
+                apart = known.get(pair)
+                if apart is None:
+                    if len(known) >= PAIRS:
+                        known.clear()
+                    apart = known[pair] = self.vocabulary.apart(*pair)
+                if not apart:
+                    continue
+            last.append(token)
+            filled += 1
+        if filled < end:
+            raise ValueError(f"no token ends at byte {filled}: the vocabulary lacks a byte")
 
     def edit(self, start: int, end: int, new: bytes) -> int:
         """Puts `new` for the bytes from `start` to `end`. Returns how many prefixes were computed again."""
@@ -107,9 +131,12 @@ class PrefixTable:
         self.last = old[:start]
         same, i = 0, start
         while i < len(self.piece) and same < longest:  # a prefix depends on no more than `longest` before it
-            i += 1
-            self._fill(i)
-            same = same + 1 if i - moved > end and self.last[-1] == old[i - moved - 1] else 0
+            upto = min(len(self.piece), i + longest)
+            self._fill(upto)
+            while i < upto and same < longest:
+                i += 1
+                same = same + 1 if i - moved > end and self.last[i - 1] == old[i - moved - 1] else 0
+        del self.last[i:]
         self.last += old[i - moved:]
         return i - start
 
@@ -121,6 +148,19 @@ class PrefixTable:
         return out[::-1]
 
 
+def _written_out(pattern: str, letters: str, numbers: str) -> str:
+    """The pattern with its classes spelled; `letters` and `numbers` are what stands for them inside brackets."""
+    named = {r"\s": SPACE, r"\p{L}": letters, r"\p{N}": numbers}
+
+    def spelled(m: re.Match) -> str:
+        if m[0] == r"\S":
+            return f"[^{SPACE}]"
+        inner = "".join(named[x] for x in re.findall(r"\\s|\\p\{[LN]\}", m[0]))
+        return f"[^{inner}]" if m[0].startswith("[") else f"[{inner}]"
+
+    return re.sub(r"\[\^(?:\\s|\\p\{[LN]\})+\]|\\s|\\S|\\p\{[LN]\}", spelled, pattern)
+
+
 class Encoder(dict):
     """Tokens by piece. Remembers pieces in two generations, so its size is bounded however many there are."""
 
@@ -128,15 +168,22 @@ class Encoder(dict):
         import regex
 
         super().__init__()
-        outside = pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
-        self.vocabulary, self.split, self.older = vocabulary, regex.compile(outside).findall, {}
+        near = [chr(i) for i in range(ord(FAR))]
+        kinds = ("".join(c for c in near if unicodedata.category(c)[0] == kind) for kind in "LN")
+        self.vocabulary, self.older = vocabulary, {}
+        self.near = re.compile(_written_out(pattern, *kinds)).findall
+        self.all = regex.compile(_written_out(pattern, r"\p{L}", r"\p{N}")).findall
+        self.has_far = re.compile(f"[^\0-{chr(ord(FAR) - 1)}]").search
+
+    def split(self, text: str) -> list[str]:
+        return (self.all if self.has_far(text) else self.near)(text)
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> tuple[int, ...]:
         found = self.older.get(piece)
         if found is None:
             raw = piece.encode()
             whole = self.vocabulary.rank.get(raw)
-            found = [whole] if whole is not None else PrefixTable(self.vocabulary, raw).tokens()
+            found = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, raw).tokens())
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -166,7 +213,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = encoder(path, pattern)
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                ids = pa.array([own.encode(t) for t in part.column(1).to_pylist()], pa.list_(pa.int32()))
+                rows = [own.encode(t) for t in part.column(1).to_pylist()]
+                flat = np.fromiter(chain.from_iterable(rows), np.int32, sum(map(len, rows)))
+                ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
@@ -177,11 +227,12 @@ def decode(encoded: DataFrame, path: str, kept: str = "doc_id bigint") -> DataFr
     """`encoded` with the bytes that its column `ids` stands for, as `decoded`. `kept`: its other columns' schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = vocabulary(path).bytes.__getitem__
+        table = vocabulary(path).table
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 ids = part.column(part.num_columns - 1)
-                decoded = pa.array([b"".join(map(raw, x)) for x in ids.to_pylist()], pa.binary())
+                ends = pa.array(np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int32))
+                decoded = pc.binary_join(pa.ListArray.from_arrays(ends, table.take(ids.flatten())), b"")
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, "decoded"])
 
     names = [x.split()[0] for x in kept.split(",")]
