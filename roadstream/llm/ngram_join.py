@@ -1,8 +1,9 @@
 """Jaccard join on word n-grams, as a blocked sparse product of the document by n-gram incidence with itself.
 
 1. Every text becomes a set of hashed n-grams. Texts of equal sets are one class from here on.
-2. Classes that agree in a band of n-gram minima are compared with the smallest class of their band, in numbers linear in the
-   classes. That ties groups of near copies together at little cost; it is no candidate search to be relied on.
+2. Classes that agree in a band of n-gram minima are compared with one class of their band, in numbers linear in the
+   classes, and then classes that share frequent n-grams with a few of these. That ties groups of near copies together at
+   little cost; it is no candidate search to be relied on.
 3. The product proper runs over the blocks of the incidence that can decide: of n n-grams in one order for all, two sets
    with 100 * overlap >= 80 * union share at least one of their first n - ceil(0.8 n) + 1. Rare n-grams come first in that
    order. A pair is only counted if step 2 has not connected it; overlaps are accumulated by pair, and a pair goes if what
@@ -33,9 +34,12 @@ from roadstream.llm.components import components
 #: Words of an n-gram; overlap in hundredths of the union from which two documents are linked.
 WORDS, LINK = 5, 80
 #: Counters of n-grams (a power of two), and how many make one row of a stored table.
-BUCKETS, BLOCK = 1 << 20, 1 << 12
+BUCKETS, BLOCK = 1 << 22, 1 << 14
 #: Bands of two minima each.
 BANDS = 6
+#: Before the product is taken, classes that share an n-gram with `BUSY` classes at least are compared with `HEADS` of them,
+#: in up to `TURNS` turns, to tie what are near copies of one document.
+BUSY, HEADS, TURNS = 16, 4, 3
 #: n-grams shared across groups that are broadcast; more of them are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
@@ -145,11 +149,12 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each (rid, doc_id, text) with its set's size, marks and bands, and at the end rows of n-gram counters."""
-    counters, waiting, held = np.zeros(BUCKETS, np.uint32), [], 0
+    counters, waiting, held = np.zeros(BUCKETS, np.uint8), [], 0
     names = ["rid", "doc_id", "n", "m1", "m2", "bands", "block", "counts"]
 
     def count():
-        counters[:] += np.bincount(np.concatenate(waiting) & np.uint64(BUCKETS - 1), minlength=BUCKETS).astype(np.uint32)
+        more = np.bincount(np.concatenate(waiting) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
+        counters[:] = np.minimum(counters + more, 255)  # a task counts to 255; what reaches that is frequent anyway
         waiting.clear()
 
     for part in _parts(batches):
@@ -178,7 +183,7 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for part in _parts(batches):
         for block, counts in zip(part.column(0).to_pylist(), part.column(1)):
-            row = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.uint64)
+            row = np.frombuffer(counts.as_buffer(), np.uint8).astype(np.uint64)
             sums[block] = sums[block] + row if block in sums else row
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
@@ -191,7 +196,7 @@ def frequent(described: DataFrame) -> np.ndarray:
     for r in rows.repartition(BUCKETS // BLOCK // 8, "block").mapInArrow(_add_blocks, "block int, counts binary").collect():
         total[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] += np.frombuffer(r["counts"], np.uint64)
     usual = np.median(total)
-    return np.where(total > 1.5 * usual + 6 * np.sqrt(usual) + 4, total, 0).astype(np.float32)
+    return np.where(total > usual + 4 * np.sqrt(usual) + 2, total, 0).astype(np.float32)
 
 
 def prefixes(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
@@ -252,33 +257,64 @@ def _sizes_fit(n: str, m: str):
 
 
 def first_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links of classes to the smallest class that they share a band with."""
+    """Links of classes to one class of each band they are in, a different one by band as far as chance has it."""
     rows = classes.select("cid", "n", F.posexplode("bands").alias("band", "least"))
-    heads = rows.groupBy("band", "least").agg(F.min(F.struct("cid", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
+    order = F.struct(F.xxhash64("band", "cid"), "cid", "n")
+    heads = rows.groupBy("band", "least").agg(F.min(order).alias("head"), F.count("*").alias("size")).where("size > 1")
     heads = stored(heads.select("band", "least", F.col("head.cid").alias("a"), F.col("head.n").alias("m")), "heads")
     pairs = rows.join(heads, ["band", "least"]).where(F.col("a") != F.col("cid")).where(_sizes_fit("n", "m"))
-    return linked(docs, classes, stored(pairs.select("a", F.col("cid").alias("b")).distinct(), "pairs"))
+    pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
+    return linked(docs, classes, stored(pairs, "pairs"))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, n, b, m), a row for each n-gram they share, with that number and the least that a link needs of it."""
+    overlap = F.ceil(LINK * (F.col("n") + F.col("m")) / (100 + LINK))
+    rest = F.ceil(LINK * F.greatest("n", "m") / 100) - 1  # what is not among the first n-grams of the larger set
+    return pairs.groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared")).withColumn("needed", overlap - rest)
+
+
+def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """cid and label after `links` have tied more labels together."""
+    stars = classes.where("cid <> label").select(F.col("cid").alias("a"), F.col("label").alias("b"))
+    now = components(stars.union(links)).withColumnRenamed("node", "cid")
+    return classes.drop("label").join(now, "cid", "left").withColumn("label", F.coalesce("component", "cid")).drop("component")
+
+
+def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: int) -> DataFrame:
+    """Links of the classes that share much-shared n-grams to a few of them, in numbers linear in the entries."""
+    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("a"), F.col("n").alias("m"), F.col("label").alias("la")))
+             for k in range(HEADS)]
+    busy = entries.groupBy("gram").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_distinct(F.array(*heads)).alias("heads"))
+    busy = stored(busy.where((F.col("low") < F.col("high")) & (F.col("df") >= BUSY)).select("gram", F.explode("heads").alias("head")).select("gram", "head.*"), "heads")
+    met = entries.join(busy, "gram").where((F.col("label") != F.col("la")) & _sizes_fit("n", "m"))
+    counted = _counted(met.select("a", "m", F.col("cid").alias("b"), "n"))
+    return linked(docs, classes, stored(counted.where("2 * shared >= needed").select("a", "b"), "pairs"))
 
 
 def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
-    """All links between classes of different labels."""
+    """All links between classes of different labels, but for those that others make needless."""
     firsts = stored(prefixes(docs, classes, counters), "prefixes")
     entries = firsts.select("cid", "n", "label", F.explode("grams").alias("gram"))
-    shared = stored(
-        entries.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram"),
-        "shared")
+    differ = lambda e: e.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
+    shared = stored(differ(entries), "shared")
     few = shared.count() <= BROADCAST_ROWS
     entries = stored(entries.join(F.broadcast(shared) if few else shared, "gram").distinct(), "entries")
+    found = None
+    for turn in range(TURNS):
+        links = stored(_head_links(docs, classes, entries, turn), "links")
+        if links.isEmpty():
+            break
+        found = links if found is None else found.union(links)
+        classes = stored(_relabelled(classes, links), "tied")
+        entries = entries.drop("label").join(classes.select("cid", "label"), "cid")
+        entries = stored(entries.join(differ(entries), "gram"), "entries")
     a = entries.select("gram", F.col("cid").alias("a"), F.col("n").alias("n"), F.col("label").alias("la"))
     b = entries.select("gram", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-    counted = (
-        a.hint("merge").join(b.hint("merge"), "gram").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit("n", "m"))
-        .groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))
-    )
-    overlap = F.ceil(LINK * (F.col("n") + F.col("m")) / (100 + LINK))
-    rest = F.ceil(LINK * F.greatest("n", "m") / 100) - 1  # what is not among the first n-grams of the larger set
-    pairs = counted.where(F.col("shared") >= overlap - rest).select("a", "b")
-    return linked(docs, classes, stored(pairs, "pairs"))
+    met = a.hint("merge").join(b.hint("merge"), "gram").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit("n", "m"))
+    pairs = stored(_counted(met).where("shared >= needed").select("a", "b"), "pairs")
+    links = linked(docs, classes, pairs)
+    return links if found is None else found.union(links)
 
 
 def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
