@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from roadstream.llm.common import numbered, stored, whole_text
 from roadstream.llm.components import components
+from roadstream.llm.hashing import KEPT as SLICE
+from roadstream.llm.hashing import mixed, powers
 
 #: Words of an n-gram; overlap in hundredths of the union from which two documents are linked.
 WORDS, LINK = 5, 80
@@ -42,8 +44,6 @@ BANDS = 6
 BUSY, HEADS, TURNS = 16, 4, 3
 #: n-grams shared across groups that are broadcast; more of them are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
-#: Bytes of text that are hashed at once; a longer text is hashed alone.
-SLICE = 1 << 18
 
 _rng = np.random.default_rng(20)
 _value = _rng.integers(1 << 62, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -51,31 +51,6 @@ _value[65:91] = _value[97:123]  # A-Z as a-z
 _space = np.zeros(256, bool)
 _space[[32, *range(9, 14)]] = True
 _weight = _rng.integers(1 << 62, 1 << 63, WORDS + 1, np.uint64) * np.uint64(2) + np.uint64(1)
-_base = np.uint64(0x9E3779B97F4A7C15)
-_back = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse."""
-    if len(_powers.get("base", ())) < n:
-        size = max(n, SLICE + 1)
-        made = {}
-        for name, x in (("base", _base), ("back", _back)):
-            row = np.full(size, x, np.uint64)
-            row[0] = 1
-            made[name] = np.cumprod(row)
-        if size > 16 * SLICE:  # not worth keeping
-            return made["base"], made["back"]
-        _powers.update(made)
-    return _powers["base"], _powers["back"]
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstream.llm import byte_bpe, common, exact_dedup, language, mixing, ngram_join, quality, secrets
+from roadstream.llm import byte_bpe, common, exact_dedup, fingerprints, language, mixing, ngram_join, pii, quality, secrets, toxicity
 
 #: The rank file of the queries. Executors read it where it is installed.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,10 +17,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": lambda spark, sf_dir: secrets.scan(common.documents(spark, sf_dir)),
     "op3_ngram_join": lambda spark, sf_dir: ngram_join.join(common.documents(spark, sf_dir)),
     "op4_mixing": lambda spark, sf_dir: mixing.mix(common.documents(spark, sf_dir)),
+    "op5_pii": lambda spark, sf_dir: pii.scan(common.documents(spark, sf_dir)),
     "op6_quality": lambda spark, sf_dir: quality.classify(common.documents(spark, sf_dir), common.labels(spark, sf_dir)),
     "op7_language": lambda spark, sf_dir: language.classify(common.documents(spark, sf_dir)),
     "op8_byte_bpe": lambda spark, sf_dir: byte_bpe.round_trip(
         common.documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).drop("ids"),
+    "op9_toxicity": lambda spark, sf_dir: toxicity.classify(common.documents(spark, sf_dir), common.labels(spark, sf_dir)),
+    "op10_fingerprints": lambda spark, sf_dir: fingerprints.neighbours(common.documents(spark, sf_dir)),
 }
 
 ORACLE: dict[str, str] = {

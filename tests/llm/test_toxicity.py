@@ -1,0 +1,74 @@
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+
+from compare import TESTDATA
+from roadstream.llm import common, toxicity
+from roadstream.llm.toxicity import DECAY, ORDER, SPAN, coded, kernels, tokens_of
+
+SF = str(TESTDATA / "sf0.1")
+
+
+def brute_kernel(a, b):
+    def subsequences(w):
+        out = {}
+        for p in combinations(range(len(w)), ORDER):
+            if p[-1] - p[0] < SPAN:
+                key = tuple(w[i] for i in p)
+                out[key] = out.get(key, 0) + DECAY ** (p[-1] - p[0] + 1)
+        return out
+
+    x, y = subsequences((0, *a)), subsequences((0, *b))
+    dot = lambda u, v: sum(u[k] * v.get(k, 0) for k in u)
+    return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5
+
+
+def test_kernel():
+    words = [coded(w) for w in ("idiot", "idioot", "i.d.i.o.t", "iditot", "scum", "aaaaaa", "straße", "plain")]
+    got = kernels(words, words)
+    want = np.array([[brute_kernel(a, b) for b in words] for a in words])
+    assert np.allclose(got, want, atol=1e-5)
+    assert got[0, 2] > 0.999 and got[0, 1] > 0.6 and got[0, 7] < 0.2
+
+
+def test_tokens():
+    assert {"such", "idiot", "here"} <= tokens_of("Such i D i o T here")
+    assert coded("m-o.r*o_n!") == coded("moron") and coded("123") == ()
+
+
+def test_held_out_documents(spark):
+    docs, labels = common.documents(spark, SF), common.labels(spark, SF)
+    got = toxicity.classify(docs, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == docs.count()
+    rows = got.join(labels, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    toxic, clean = [r for r in held if r["toxic"] == 1 and r["quality"] == 1], [r for r in held if r["toxic"] == 0]
+    assert sum(r["predicted"] for r in clean) <= 0.01 * len(clean)
+    missed = [r["doc_id"] for r in toxic if not r["predicted"]]
+    assert len(missed) <= 0.05 * len(toxic) and len(toxic) > 50, (len(missed), len(toxic))
+
+
+def test_inserted_characters():
+    rng = random.Random(1)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "st"]
+    clean = sorted({coded("".join(rng.choices(syllables, k=rng.randrange(1, 6)))) for _ in range(8000)})
+    machine = toxicity.fit(list(map(coded, ("pathetic", "worthless", "disgusting", "idiot", "moron", "stupid", "trash", "loser"))), clean)
+    said = lambda *ws: machine.words(list(map(coded, ws)))
+    limit = np.quantile(machine.words(clean), 0.999)
+    assert (said("pathetic", "idiot", "moron", "stupid", "w-o-r-t-h-l-e-s-s", "paathetic", "worthlxess", "disguusting", "stuppid", "idiiot") > limit).all()
+
+
+def test_odd_rows(spark):
+    texts = ["you idiot", None, "", "fine words here", "x" * 100_000, "1 2 3", "a b c d e", "you idiot"]
+    docs = spark.createDataFrame([(i, t, 1.5, 2) for i, t in enumerate(texts)] + [(None, "a", None, 1), (3, "dup", 0.0, 0)],
+                                 "doc_id bigint, text string, score double, predicted int")
+    for rows in ([], [(0, 1)], [(0, 1), (3, 0), (3, 1), (4, None), (None, 0), (77, 1)]):
+        got = toxicity.classify(docs, spark.createDataFrame(rows, "doc_id bigint, toxic int"))
+        assert got.count() == 10 and all(0 <= r["score"] <= 1 for r in got.collect())
+    machine = toxicity.fit([coded("idiot")], [coded("fine"), coded("words"), coded("here")])
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, machine).collect()}
+    assert got[0] == got[7] > max(v for k, v in got.items() if k not in (0, 7))
+    assert toxicity.score(docs.limit(0), machine).count() == 0
