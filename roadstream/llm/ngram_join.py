@@ -6,7 +6,8 @@
    little cost; it is no candidate search to be relied on.
 3. The product proper runs over the blocks of the incidence that can decide: of n n-grams in one order for all, two sets
    with 100 * overlap >= 80 * union share at least one of their first n - ceil(0.8 n) + 1. Rare n-grams come first in that
-   order. A pair is only counted if step 2 has not connected it; overlaps are accumulated by pair, and a pair goes if what
+   order. A pair is only counted if step 2 has not connected it, and if sizes and sketches (n-grams counted by bit, odd or
+   even, which bounds how far two sets differ) allow a link at all; overlaps are accumulated by pair, and a pair goes if what
    it shares in these blocks is less than the sizes of the rest require. The whole overlap is then taken exactly.
 4. Links make components.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import numbered, stored, whole_text
@@ -37,11 +38,11 @@ from roadstream.llm.hashing import mixed, powers
 WORDS, LINK = 5, 80
 #: Counters of n-grams (a power of two), and how many make one row of a stored table.
 BUCKETS, BLOCK = 1 << 22, 1 << 14
-#: Bands of two minima each.
-BANDS = 6
+#: Bands of two minima each, and 64-bit numbers of a sketch (a power of two).
+BANDS, SKETCH = 6, 8
 #: Before the product is taken, classes that share an n-gram with `BUSY` classes at least are compared with `HEADS` of them,
 #: in up to `TURNS` turns, to tie what are near copies of one document.
-BUSY, HEADS, TURNS = 16, 4, 3
+BUSY, HEADS, TURNS = 16, 4, 2
 #: n-grams shared across groups that are broadcast; more of them are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 
@@ -109,6 +110,12 @@ def _bands(grams: np.ndarray) -> list[int]:
     return mixed(least[0::2] * _weight[0] + least[1::2]).view(np.int64).tolist()
 
 
+def _sketch(grams: np.ndarray) -> list[int]:
+    """By bit, whether an odd number of n-grams falls on it: two sets differ in as many n-grams at least as in bits."""
+    odd = np.bincount((grams >> np.uint64(58 - (SKETCH.bit_length() - 1))).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _longs(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offsets[1:])
@@ -125,7 +132,7 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each (rid, doc_id, text) with its set's size, marks and bands, and at the end rows of n-gram counters."""
     counters, waiting, held = np.zeros(BUCKETS, np.uint8), [], 0
-    names = ["rid", "doc_id", "n", "m1", "m2", "bands", "block", "counts"]
+    names = ["rid", "doc_id", "n", "m1", "m2", "bands", "sketch", "block", "counts"]
 
     def count():
         more = np.bincount(np.concatenate(waiting) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
@@ -144,13 +151,14 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([m for m, _ in marks], pa.int64()), pa.array([m for _, m in marks], pa.int64()),
             pa.array([_bands(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+            pa.array([_sketch(s) for s in sets], pa.list_(pa.int64())),
             pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
     if waiting:
         count()
     for block in range(0, BUCKETS, BLOCK * 64):
         blocks = [b for b in range(block // BLOCK, block // BLOCK + 64) if counters[b * BLOCK:(b + 1) * BLOCK].any()]
         yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(len(blocks), pa.int64()) for _ in range(5)), pa.nulls(len(blocks), pa.list_(pa.int64())),
+            *(pa.nulls(len(blocks), pa.int64()) for _ in range(5)), *(pa.nulls(len(blocks), pa.list_(pa.int64())) for _ in range(2)),
             pa.array(blocks, pa.int32()), pa.array([counters[b * BLOCK:(b + 1) * BLOCK].tobytes() for b in blocks], pa.binary())], names)
 
 
@@ -194,9 +202,9 @@ def prefixes(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataF
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
         run, "doc_id bigint, m1 bigint, m2 bigint, grams array<bigint>")
-    own = classes.select("cid", "n", "label", F.col("rep"), F.col("m1").alias("k1"), F.col("m2").alias("k2"))
+    own = classes.select("cid", "n", "label", "sketch", F.col("rep"), F.col("m1").alias("k1"), F.col("m2").alias("k2"))
     return found.join(own, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))).select(
-        "cid", "n", "label", "grams")
+        "cid", "n", "label", "sketch", "grams")
 
 
 def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -227,17 +235,20 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(other, "b").join(one, "a").where(enough).select("a", "b")
 
 
-def _sizes_fit(n: str, m: str):
-    return (100 * F.least(n, m) >= LINK * F.greatest(n, m))
+def _may_link(n: str, m: str, x: str, y: str) -> Column:
+    """What two sets of sizes n and m with sketches x and y must meet to be linked at all."""
+    differ = sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH)), F.lit(0))
+    overlap = F.ceil(LINK * (F.col(n) + F.col(m)) / (100 + LINK))
+    return (100 * F.least(n, m) >= LINK * F.greatest(n, m)) & (differ <= F.col(n) + F.col(m) - 2 * overlap)
 
 
 def first_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links of classes to one class of each band they are in, a different one by band as far as chance has it."""
-    rows = classes.select("cid", "n", F.posexplode("bands").alias("band", "least"))
-    order = F.struct(F.xxhash64("band", "cid"), "cid", "n")
+    rows = classes.select("cid", "n", "sketch", F.posexplode("bands").alias("band", "least"))
+    order = F.struct(F.xxhash64("band", "cid"), "cid", "n", "sketch")
     heads = rows.groupBy("band", "least").agg(F.min(order).alias("head"), F.count("*").alias("size")).where("size > 1")
-    heads = stored(heads.select("band", "least", F.col("head.cid").alias("a"), F.col("head.n").alias("m")), "heads")
-    pairs = rows.join(heads, ["band", "least"]).where(F.col("a") != F.col("cid")).where(_sizes_fit("n", "m"))
+    heads = stored(heads.select("band", "least", F.col("head.cid").alias("a"), F.col("head.n").alias("m"), F.col("head.sketch").alias("y")), "heads")
+    pairs = rows.join(heads, ["band", "least"]).where(F.col("a") != F.col("cid")).where(_may_link("n", "m", "sketch", "y"))
     pairs = pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
     return linked(docs, classes, stored(pairs, "pairs"))
 
@@ -258,11 +269,11 @@ def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: int) -> DataFrame:
     """Links of the classes that share much-shared n-grams to a few of them, in numbers linear in the entries."""
-    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("a"), F.col("n").alias("m"), F.col("label").alias("la")))
+    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("a"), F.col("n").alias("m"), F.col("label").alias("la"), F.col("sketch").alias("y")))
              for k in range(HEADS)]
     busy = entries.groupBy("gram").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_distinct(F.array(*heads)).alias("heads"))
     busy = stored(busy.where((F.col("low") < F.col("high")) & (F.col("df") >= BUSY)).select("gram", F.explode("heads").alias("head")).select("gram", "head.*"), "heads")
-    met = entries.join(busy, "gram").where((F.col("label") != F.col("la")) & _sizes_fit("n", "m"))
+    met = entries.join(busy, "gram").where((F.col("label") != F.col("la")) & _may_link("n", "m", "sketch", "y"))
     counted = _counted(met.select("a", "m", F.col("cid").alias("b"), "n"))
     return linked(docs, classes, stored(counted.where("2 * shared >= needed").select("a", "b"), "pairs"))
 
@@ -270,7 +281,7 @@ def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: i
 def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
     """All links between classes of different labels, but for those that others make needless."""
     firsts = stored(prefixes(docs, classes, counters), "prefixes")
-    entries = firsts.select("cid", "n", "label", F.explode("grams").alias("gram"))
+    entries = firsts.select("cid", "n", "label", "sketch", F.explode("grams").alias("gram"))
     differ = lambda e: e.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
     shared = stored(differ(entries), "shared")
     few = shared.count() <= BROADCAST_ROWS
@@ -284,9 +295,9 @@ def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) ->
         classes = stored(_relabelled(classes, links), "tied")
         entries = entries.drop("label").join(classes.select("cid", "label"), "cid")
         entries = stored(entries.join(differ(entries), "gram"), "entries")
-    a = entries.select("gram", F.col("cid").alias("a"), F.col("n").alias("n"), F.col("label").alias("la"))
-    b = entries.select("gram", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-    met = a.hint("merge").join(b.hint("merge"), "gram").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit("n", "m"))
+    a = entries.select("gram", F.col("cid").alias("a"), F.col("n").alias("n"), F.col("label").alias("la"), F.col("sketch").alias("x"))
+    b = entries.select("gram", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("sketch").alias("y"))
+    met = a.hint("merge").join(b.hint("merge"), "gram").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link("n", "m", "x", "y"))
     pairs = stored(_counted(met).where("shared >= needed").select("a", "b"), "pairs")
     links = linked(docs, classes, pairs)
     return links if found is None else found.union(links)
@@ -298,10 +309,10 @@ def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
     numbered_ = docs.select(number.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     described = stored(
         numbered_.mapInArrow(_describe, "rid bigint, doc_id bigint, n bigint, m1 bigint, m2 bigint, bands array<bigint>, "
-                                        "block int, counts binary"), "described")
-    rows = described.where("block IS NULL").select("rid", "doc_id", "n", "m1", "m2", "bands")
+                                        "sketch array<bigint>, block int, counts binary"), "described")
+    rows = described.where("block IS NULL").select("rid", "doc_id", "n", "m1", "m2", "bands", "sketch")
     classes = stored(
-        rows.where("n > 0").groupBy("m1", "m2", "n", "bands").agg(F.min("doc_id").alias("rep"))
+        rows.where("n > 0").groupBy("m1", "m2", "n", "bands", "sketch").agg(F.min("doc_id").alias("rep"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
     links = stored(first_links(docs, classes), "links")
     tied = components(links).withColumnRenamed("component", "label")
@@ -313,7 +324,7 @@ def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
         components(links).withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     names = found.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = stored(found.join(names, "component").select("m1", "m2", F.col("n").alias("size"), "component", "component_id"), "named")
-    joined = rows.drop("bands").join(
+    joined = rows.drop("bands", "sketch").join(
         named.withColumnsRenamed({"m1": "k1", "m2": "k2"}),
         (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2")) & (F.col("n") == F.col("size")), "left")
     return joined.select(
