@@ -39,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and the token ids of every document of the mix."""
+    common.ship(spark)
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +16,23 @@ from roadstream.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application: they may not have it installed."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_roadstream_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='roadstream-')}/package", "zip", package.parent, package.name)
+        sc.addPyFile(made)  # the driver serves it; executors need not see the folder
+        sc._roadstream_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
@@ -57,6 +72,7 @@ def bounded(df: DataFrame, rows: int, *key: str) -> DataFrame:
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """A stored copy of `docs` with a row number, and that column's name, which `docs` does not have."""
+    ship(docs.sparkSession)
     name = "__rid"
     while name in docs.columns:
         name += "_"
