@@ -223,7 +223,8 @@ def police_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_lines(df: DataFrame, schema: T.StructType, time_col: str) -> DataFrame:
     """Wire lines of a table with their time, and the closing row."""
-    line = F.concat_ws(",", *schema.fieldNames())
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in schema.fieldNames()]
+    line = F.concat_ws(",", *fields)  # which would leave out nulls, and so shift fields
     rows = df.select(F.col(time_col).alias("at"), line.alias("value"))
     closing = ",".join(
         str(FAR_FUTURE) if f.name == time_col

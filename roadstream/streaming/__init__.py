@@ -8,4 +8,8 @@ import sys
 
 from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(sys.modules["roadstream"])
+import roadstream.functions
+import roadstream.operators
+
+for _module in (sys.modules[__name__], roadstream.functions, roadstream.operators):
+    cloudpickle.register_pickle_by_value(_module)

@@ -27,6 +27,9 @@ Hold = Callable[[DataFrame], DataFrame]
 # caches what both results and kept rows are made of, until the micro-batch is done.
 Step = Callable[[DataFrame, int, int, Hold], tuple[DataFrame, DataFrame]]
 
+#: The watermark before the first row: below all times, so that no row is late.
+NO_WATERMARK = -(1 << 63)
+
 
 def run_carried(
     rows: DataFrame,
@@ -54,12 +57,13 @@ def run_carried(
             return df
 
         old, newest = _read_progress(spark, folder, batch_id - 1)
-        fresh = hold(batch.where(F.col(time_col) > old))  # rows further behind are late
+        late = F.lit(False) if old == NO_WATERMARK else F.col(time_col) <= old
+        fresh = hold(batch.where(~late))
         side = F.col(sides) if sides else F.lit(0)
         for r in fresh.groupBy(side.alias("s")).agg(F.max(time_col).alias("t")).collect():
             newest[r["s"]] = max(r["t"], newest.get(r["s"], r["t"]))
         complete = len(newest) == (2 if sides else 1)
-        now = max(old, min(newest.values()) - delay_ms) if complete else old
+        now = max(old, min(newest.values()) - delay_ms, NO_WATERMARK) if complete else old
 
         known = prepare(fresh)
         if batch_id > 0:
@@ -89,7 +93,7 @@ def _read_kept(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
 def _read_progress(spark: SparkSession, folder: str, batch_id: int) -> tuple[int, dict[int, int]]:
     """The watermark, and the newest time per side: two rows at most."""
     if batch_id < 0:
-        return 0, {}
+        return NO_WATERMARK, {}
     rows = spark.read.parquet(_path(folder, "progress", batch_id)).collect()
     return rows[0]["watermark"], {r["side"]: r["newest"] for r in rows if r["side"] is not None}
 
