@@ -21,8 +21,8 @@ def monitor_limits(monitor_info: DataFrame, version: str | None = None) -> DataF
 
 
 def over_limit(tolerance: float, speed: str = "real_speed") -> Column:
-    """Strictly above limit x tolerance, in double."""
-    return F.col("limit_speed") * F.lit(float(tolerance)) < F.col(speed)
+    """Strictly above limit x tolerance, in double. NaN is above nothing."""
+    return (F.col("limit_speed") * F.lit(float(tolerance)) < F.col(speed)) & ~F.isnan(speed)
 
 
 def speeding(

@@ -244,11 +244,7 @@ def _traffic_run(start, **kw) -> Query:
 
 def _police_run(start: streams.Start, **kw) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        inputs = {
-            "violation_lines": streams.violation_lines(spark, sf_dir),
-            "police_lines": streams.police_lines(spark, sf_dir),
-        }
-        return streams.drain(spark, inputs, start, **kw)
+        return streams.drain(spark, streams.violation_police_lines(spark, sf_dir), start, **kw)
 
     return query
 
@@ -261,9 +257,9 @@ def _danger_carried(mode: str) -> Query:
 
 def area_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = _traffic_stream(lambda _, __, x: streams.area_running_job(x), "update")
-    # The window of the closing row is not part of the input.
+    # The area of the closing row is not part of the input.
     totals = area_totals(counts(spark, sf_dir))
-    return totals.where(F.col("window_end") < streams.FAR_FUTURE)
+    return totals.where(F.col("area_id") != "closing action_time")
 
 
 _IN_STATE = {"bytes_per_slice": streams.BYTES_PER_STATE_SLICE}

@@ -14,12 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream.functions.scalar import with_warning_time
 from roadstream.operators import area, clones, danger, flow, police, speeding, tracks
 from roadstream.plans import fixtures as fx
 from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
 from roadstream.sinks.writers import Writer, to_folder, write, write_speeding
-from roadstream.sources.lines import parse_police, parse_traffic, parse_violation, read_lines_stream
+from roadstream.sources.lines import MAX_TIME, parse_police, parse_traffic, parse_violation, read_lines_stream
 from roadstream.streaming import carried
 from roadstream.streaming.area_counts import area_running_stream
 from roadstream.streaming.machines import (
@@ -81,9 +82,11 @@ def area_approx_job(lines: DataFrame, mode: str = "event") -> DataFrame:
     return area.area_approx_distinct(_traffic(lines, IN_ORDER, mode))
 
 
-def clones_job(lines: DataFrame) -> DataFrame:
+def clones_job(lines: DataFrame, warned: bool = False) -> DataFrame:
+    """With `warned`, each alarm also says when it was raised."""
     traffic = _traffic(lines, IN_ORDER)
-    return (cloned_plates_stream if lines.isStreaming else clones.cloned_plates)(traffic)
+    alarms = (cloned_plates_stream if lines.isStreaming else clones.cloned_plates)(traffic)
+    return with_warning_time(alarms) if warned else alarms
 
 
 def clone_violations_job(lines: DataFrame) -> DataFrame:
@@ -91,11 +94,16 @@ def clone_violations_job(lines: DataFrame) -> DataFrame:
     return clones.as_violations(clones_job(lines))
 
 
-def danger_job(lines: DataFrame, limits: DataFrame, mode: str = "all") -> DataFrame:
+def danger_job(
+    lines: DataFrame, limits: DataFrame, mode: str = "all", warned: bool = False
+) -> DataFrame:
+    """With `warned`, each match also says when it was reported."""
     traffic = _traffic(lines, FLOW_DELAY)
     if lines.isStreaming:
-        return dangerous_drivers_stream(traffic, limits, mode=mode)
-    return danger.dangerous_drivers(traffic, limits, mode=mode).drop("start_no")
+        found = dangerous_drivers_stream(traffic, limits, mode=mode)
+    else:
+        found = danger.dangerous_drivers(traffic, limits, mode=mode).drop("start_no")
+    return with_warning_time(found) if warned else found
 
 
 def police_match_job(violation_lines: DataFrame, police_lines: DataFrame) -> DataFrame:
@@ -119,7 +127,8 @@ def tracks_job(lines: DataFrame, violations: DataFrame) -> DataFrame:
 
 # Draining: the inputs arrive as lines in the shared folder, slice by slice in time.
 
-FAR_FUTURE = 4102444800000  # 2100-01-01: a last row that lets the watermark pass all others
+FAR_FUTURE = 4102444800000  # 2100-01-01: the closing row is not before that
+DAY_MS = 24 * 60 * 60 * 1000
 SLICES = 2  # at least, so that state is carried over
 BYTES_PER_SLICE = 256 << 30
 # Where the rows of one car go through one task, a slice must fit it whole.
@@ -175,25 +184,38 @@ def drain(
     waits in the state is never more than a slice and the rows in the delay."""
     base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     bounds, slice_bytes = _slices(inputs, bytes_per_slice)
+    array = F.array(*map(F.lit, bounds)).cast("array<bigint>")
+    number = F.size(F.filter(array, lambda b: b <= F.col("at"))).alias("slice")  # 0 where a time is null
+    staged = {}
+    for name, rows in inputs.items():  # one pass; each slice is then read alone
+        rows.select("value", number).write.partitionBy("slice").parquet(f"{base}/staged/{name}")
+        staged[name] = spark.read.schema("value string, slice int").parquet(f"{base}/staged/{name}")
     with _state_partitions(spark, slice_bytes):
-        for lo, hi in zip(bounds, bounds[1:]):
-            for name, rows in inputs.items():
-                part = rows.where((F.col("at") >= lo) & (F.col("at") < hi))
-                part.select("value").write.mode("append").text(f"{base}/in/{name}")
+        for i in range(len(bounds) + 1):
+            for name, rows in staged.items():
+                part = rows.where(F.col("slice") == i).select("value")
+                part.write.mode("append").text(f"{base}/in/{name}")
             streams = {name: read_lines_stream(spark, f"{base}/in/{name}") for name in inputs}
             start(base, **streams).awaitTermination()
+    for done in ("staged", "in", "checkpoint", "carried"):
+        _remove(spark, f"{base}/{done}")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _slices(inputs: dict[str, DataFrame], bytes_per_slice: int) -> tuple[list[int], int]:
-    """Bounds in time of slices with about equally many rows, and the bytes of one slice. All
-    inputs share the bounds, so that neither runs ahead."""
+    """Times that divide the rows into slices of about equally many, and the bytes of one slice.
+    All inputs share them, so that neither runs ahead. The first and the last slice are open."""
     both = [df.select("at", F.octet_length("value").alias("b")) for df in inputs.values()]
     rows = reduce(DataFrame.unionByName, both)
     size = rows.agg(F.sum("b")).first()[0] or 0
     n = max(SLICES, -(-size // bytes_per_slice))
     inner = rows.approxQuantile("at", [i / n for i in range(1, n)], 0.1 / n)
-    return [0, *sorted({int(b) for b in inner}), FAR_FUTURE + 1], size // n
+    return sorted({int(b) for b in inner}), size // n
 
 
 @contextmanager
@@ -210,28 +232,39 @@ def _state_partitions(spark: SparkSession, size: int):
 
 
 def traffic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_lines(fx.traffic(spark, sf_dir), TRAFFIC, "action_time")
+    rows = fx.traffic(spark, sf_dir)
+    return _as_lines(rows, TRAFFIC, "action_time", closing_time(rows.select("action_time")))
 
 
-def violation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_lines(fx.violations(spark, sf_dir), VIOLATION, "create_time")
+def violation_police_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both sides, closed at one time."""
+    v, p = fx.violations(spark, sf_dir), fx.police_actions(spark, sf_dir)
+    at = closing_time(v.select("create_time").union(p.select("action_time")))
+    return {
+        "violation_lines": _as_lines(v, VIOLATION, "create_time", at),
+        "police_lines": _as_lines(p, POLICE_ACTION, "action_time", at),
+    }
 
 
-def police_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_lines(fx.police_actions(spark, sf_dir), POLICE_ACTION, "action_time")
+def closing_time(times: DataFrame) -> int:
+    """A day after the last time that a line can have, and not before `FAR_FUTURE`."""
+    at = F.col(times.columns[0])
+    last = times.agg(F.max(F.when(at <= MAX_TIME, at))).first()[0]
+    return FAR_FUTURE if last is None else min(max(FAR_FUTURE, last + DAY_MS), MAX_TIME)
 
 
-def _as_lines(df: DataFrame, schema: T.StructType, time_col: str) -> DataFrame:
-    """Wire lines of a table with their time, and the closing row."""
+def _as_lines(df: DataFrame, schema: T.StructType, time_col: str, closing_at: int) -> DataFrame:
+    """Wire lines of a table with their time, and a closing row that lets the watermark pass all
+    others. Its keys say `closing` and the name of the time column."""
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in schema.fieldNames()]
     line = F.concat_ws(",", *fields)  # which would leave out nulls, and so shift fields
     rows = df.select(F.col(time_col).alias("at"), line.alias("value"))
     closing = ",".join(
-        str(FAR_FUTURE) if f.name == time_col
+        str(closing_at) if f.name == time_col
         else "0" if isinstance(f.dataType, T.DoubleType) else f"closing {time_col}"
         for f in schema
     )
     last = df.sparkSession.range(1).select(
-        F.lit(FAR_FUTURE).alias("at"), F.lit(closing).alias("value")
+        F.lit(closing_at).alias("at"), F.lit(closing).alias("value")
     )
     return rows.unionByName(last)

@@ -57,7 +57,9 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     try:
         return spark.read.schema(full).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
 
 

@@ -6,6 +6,12 @@ from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
 
 TOO_SHORT = "too few fields"
 BAD_NUMBER = "bad number"
+BAD_SPEED = "speed out of range"
+BAD_TIME = "time out of range"
+# Beyond these, sums and timestamps overflow and would end the job: years 1 to 9999, and more
+# than any vehicle does.
+MIN_TIME, MAX_TIME = -62135596800000, 253402300799999
+MAX_SPEED = 1e6
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -48,13 +54,21 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
               for i, f in enumerate(schema)]
     others = [c for c in lines.columns if c != "value"]
     numbers = [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
-    bad_number = F.lit(False)
-    for name in numbers:
-        bad_number = bad_number | F.col(name).isNull()
+    bad_number, bad_speed, bad_time = F.lit(False), F.lit(False), F.lit(False)
+    for f in schema:
+        value = F.col(f.name)
+        if f.name in numbers:
+            bad_number = bad_number | value.isNull()
+        if isinstance(f.dataType, T.DoubleType):  # NaN sorts above all numbers
+            bad_speed = bad_speed | ~F.abs(value).between(0.0, MAX_SPEED)
+        if isinstance(f.dataType, T.LongType):
+            bad_time = bad_time | ~value.between(MIN_TIME, MAX_TIME)
     return lines.select(*others, "value", F.size(parts).alias("_size"), *fields).select(
         *others, "value", *schema.fieldNames(),
         F.when(F.col("_size") < len(schema), TOO_SHORT)
         .when(bad_number, BAD_NUMBER)
+        .when(bad_speed, BAD_SPEED)
+        .when(bad_time, BAD_TIME)
         .alias("reject_reason"),
     )
 

@@ -98,6 +98,10 @@ def _read_progress(spark: SparkSession, folder: str, batch_id: int) -> tuple[int
     return rows[0]["watermark"], {r["side"]: r["newest"] for r in rows if r["side"] is not None}
 
 
+def _before(now: int, ms: int) -> int:
+    return max(now - ms, NO_WATERMARK)
+
+
 def clone_rows(traffic: DataFrame) -> DataFrame:
     return traffic.select(*clone_columns(traffic))
 
@@ -108,7 +112,7 @@ def clone_step(gap_sec: int = GAP_SEC, **split) -> Step:
     def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
         paired = hold(paired_passes(due, gap_sec, split, _next=following(F.lit(True))))
         waits = ~F.col("_second") & F.col("_next").isNull()
-        near = F.col("action_time") > now - (gap_sec + 1) * 1000
+        near = F.col("action_time") > _before(now, (gap_sec + 1) * 1000)
         return clone_alarms(paired), paired.where(waits & near).select(*due.columns)
 
     return step
@@ -128,7 +132,7 @@ def danger_step(
         else:
             over = F.col("start_time") + within_ms
             new = (over > old) & (over <= now)
-        return found.where(new), due.where(F.col("action_time") > now - within_ms)
+        return found.where(new), due.where(F.col("action_time") > _before(now, within_ms))
 
     return step
 
@@ -138,7 +142,7 @@ def slot_step(wait_ms: int = BOUND_MS, **split) -> Step:
 
     def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
         pairs, alone = slot_outcomes(due, wait_ms, split, hold)
-        waits = F.col("_is_last") & (F.col("at") > now - wait_ms)
+        waits = F.col("_is_last") & (F.col("at") > _before(now, wait_ms))
         done = alone.where(~waits).select("outcome", "car", *SLOT_FIELDS)
         return pairs.unionByName(done), alone.where(waits).select(*due.columns)
 
