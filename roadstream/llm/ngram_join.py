@@ -183,28 +183,30 @@ def frequent(described: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
-    """cid, n and the first n-grams of each class, rare ones first."""
+    """cid, label and the first n-grams of each class, rare ones first."""
     order = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seldom = order.value
+        seldom, seen = order.value, set()
         for part in _parts(batches):
-            firsts, marks = [], []
-            for s in shingle_sets(part.column(1)):
+            firsts, marks, new = [], [], []
+            for doc_id, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1))):
                 marks.append(_marks(s))
+                new.append((doc_id, marks[-1]) not in seen)  # repeated rows
+                seen.add((doc_id, marks[-1]))
                 often = seldom[s & np.uint64(BUCKETS - 1)]
                 if often.any():
                     s = s[np.argsort(often, kind="stable")]
                 firsts.append(s[:len(s) - -(-LINK * len(s) // 100) + 1] if len(s) else s)
             yield pa.RecordBatch.from_arrays([
                 part.column(0), pa.array([m for m, _ in marks], pa.int64()), pa.array([m for _, m in marks], pa.int64()),
-                _longs(firsts)], ["doc_id", "m1", "m2", "grams"])
+                _longs(firsts)], ["doc_id", "m1", "m2", "grams"]).filter(pa.array(new, pa.bool_()))
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
         run, "doc_id bigint, m1 bigint, m2 bigint, grams array<bigint>")
-    own = classes.select("cid", "n", "label", "sketch", F.col("rep"), F.col("m1").alias("k1"), F.col("m2").alias("k2"))
+    own = classes.select("cid", "label", F.col("rep"), F.col("m1").alias("k1"), F.col("m2").alias("k2"))
     return found.join(own, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))).select(
-        "cid", "n", "label", "sketch", "grams")
+        "cid", "label", "grams")
 
 
 def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -253,11 +255,10 @@ def first_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return linked(docs, classes, stored(pairs, "pairs"))
 
 
-def _counted(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, n, b, m), a row for each n-gram they share, with that number and the least that a link needs of it."""
+def _least_shared() -> Column:
+    """How many of their first n-grams sets of sizes n and m must share to be linked."""
     overlap = F.ceil(LINK * (F.col("n") + F.col("m")) / (100 + LINK))
-    rest = F.ceil(LINK * F.greatest("n", "m") / 100) - 1  # what is not among the first n-grams of the larger set
-    return pairs.groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared")).withColumn("needed", overlap - rest)
+    return overlap - (F.ceil(LINK * F.greatest("n", "m") / 100) - 1)  # less what is not among the first of the larger set
 
 
 def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -269,23 +270,27 @@ def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: int) -> DataFrame:
     """Links of the classes that share much-shared n-grams to a few of them, in numbers linear in the entries."""
-    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("a"), F.col("n").alias("m"), F.col("label").alias("la"), F.col("sketch").alias("y")))
-             for k in range(HEADS)]
-    busy = entries.groupBy("gram").agg(F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array_distinct(F.array(*heads)).alias("heads"))
-    busy = stored(busy.where((F.col("low") < F.col("high")) & (F.col("df") >= BUSY)).select("gram", F.explode("heads").alias("head")).select("gram", "head.*"), "heads")
-    met = entries.join(busy, "gram").where((F.col("label") != F.col("la")) & _may_link("n", "m", "sketch", "y"))
-    counted = _counted(met.select("a", "m", F.col("cid").alias("b"), "n"))
-    return linked(docs, classes, stored(counted.where("2 * shared >= needed").select("a", "b"), "pairs"))
+    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("head"))) for k in range(HEADS)]
+    busy = entries.groupBy("gram").agg(
+        F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array(*heads).alias("heads"))
+    busy = busy.where((F.col("low") < F.col("high")) & (F.col("df") >= BUSY))
+    busy = stored(busy.select("gram", F.explode(F.array_distinct("heads.head")).alias("head")), "heads")
+    met = entries.join(busy, "gram").where("cid <> head").groupBy(
+        F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).agg(F.count("*").alias("shared"))
+    one = classes.select(F.col("cid").alias("a"), "n", F.col("label").alias("la"), F.col("sketch").alias("x"))
+    other = classes.select(F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("sketch").alias("y"))
+    likely = (F.col("la") != F.col("lb")) & _may_link("n", "m", "x", "y") & (2 * F.col("shared") >= _least_shared())
+    return linked(docs, classes, stored(met.join(one, "a").join(other, "b").where(likely).select("a", "b"), "pairs"))
 
 
 def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
     """All links between classes of different labels, but for those that others make needless."""
     firsts = stored(prefixes(docs, classes, counters), "prefixes")
-    entries = firsts.select("cid", "n", "label", "sketch", F.explode("grams").alias("gram"))
+    entries = firsts.select("cid", "label", F.explode("grams").alias("gram"))
     differ = lambda e: e.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
     shared = stored(differ(entries), "shared")
     few = shared.count() <= BROADCAST_ROWS
-    entries = stored(entries.join(F.broadcast(shared) if few else shared, "gram").distinct(), "entries")
+    entries = stored(entries.join(F.broadcast(shared) if few else shared, "gram"), "entries")
     found = None
     for turn in range(TURNS):
         links = stored(_head_links(docs, classes, entries, turn), "links")
@@ -293,13 +298,14 @@ def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) ->
             break
         found = links if found is None else found.union(links)
         classes = stored(_relabelled(classes, links), "tied")
-        entries = entries.drop("label").join(classes.select("cid", "label"), "cid")
-        entries = stored(entries.join(differ(entries), "gram"), "entries")
-    a = entries.select("gram", F.col("cid").alias("a"), F.col("n").alias("n"), F.col("label").alias("la"), F.col("sketch").alias("x"))
-    b = entries.select("gram", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("sketch").alias("y"))
+        entries = stored(entries.drop("label").join(classes.select("cid", "label"), "cid"), "entries")
+    entries = entries.join(differ(entries), "gram", "left_semi").select("gram", "cid")
+    side = stored(entries.join(classes.select("cid", "n", "label", "sketch"), "cid"), "entries")
+    a = side.select("gram", F.col("cid").alias("a"), "n", F.col("label").alias("la"), F.col("sketch").alias("x"))
+    b = side.select("gram", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("sketch").alias("y"))
     met = a.hint("merge").join(b.hint("merge"), "gram").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link("n", "m", "x", "y"))
-    pairs = stored(_counted(met).where("shared >= needed").select("a", "b"), "pairs")
-    links = linked(docs, classes, pairs)
+    counted = met.groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))
+    links = linked(docs, classes, stored(counted.where(F.col("shared") >= _least_shared()).select("a", "b"), "pairs"))
     return links if found is None else found.union(links)
 
 
