@@ -3,13 +3,14 @@
 The kernel of two words counts the subsequences of `ORDER` characters they share, gaps included, each weighted by
 `DECAY` for every character it spans; it is normalised by the words' own kernels. An insult keeps most of its subsequences when
 characters are inserted, doubled or separated. A support vector machine on Nyström features (kernels with landmark words,
-whitened) scores words; a document is scored by its worst words. As the machine is linear in the landmarks, it is applied as one
-weight per subsequence.
+whitened) scores words. A document is scored by its worst words and by how many of all its words, repeats included, reach each of
+`MARGINS` or begin as marked ones do. As the machine is linear in the landmarks, it is applied as one weight per subsequence.
 
 Labels are of documents. Words that are significantly more frequent in toxic documents are its positive examples, so are words
 of toxic documents that begin like such words, and the most significant ones also with a character inserted or doubled; words of other documents are negative, those that come nearest to insults taking part in
-further rounds. How the worst words make a document's score is set
-on labelled rows that were kept back from this.
+further rounds. Where insults are made of ordinary syllables, single words tell little, but many of a document's words begin alike.
+So beginnings are counted in documents where they have a share of `HEAVY` at least, and words of other documents that begin
+like that are no negative examples. How all this makes a document's score is set on labelled rows that were kept back from it.
 
 The model is fitted on a sample of at most about `TRAIN_ROWS` labelled rows, chosen by a hash of doc_id, and on at most `CLEAN_WORDS`
 words of documents that are not toxic. All documents are scored from their whole texts.
@@ -24,9 +25,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
-from heapq import nlargest
 from itertools import combinations
 from zlib import crc32
 
@@ -49,11 +49,14 @@ SIGNIFICANT = 25.0
 #: How many times more frequent it must be in them than in others.
 TIMES = 8
 CUT = 0.7
-#: Lengths of beginnings that are counted like words, and what marks them among words.
-STEMS, STEM = (4, 5, 6), chr(127)
+#: Lengths of beginnings that are counted like words, what marks them among words, and the share of a document's words from which on.
+STEMS, STEM, HEAVY = (4, 5, 6, 7, 8), chr(127), 0.01
 REMEMBERED = 300_000
 #: Words of a document that count, and how much more a clean document taken for toxic counts than a toxic one missed.
 WORST, CAREFUL = 3, 3
+#: Margins whose words are counted, and all measures of a document: worst words, length, a share and a number by margin and for beginnings.
+MARGINS = (0.0, 0.5, 1.0)
+MEASURES = WORST + 1 + 2 * (len(MARGINS) + 1)
 
 #: Letters a to z, a mark for the beginning, and five classes of other letters.
 SYMBOLS = 32
@@ -75,14 +78,34 @@ def coded(token: str) -> tuple[int, ...]:
     return tuple(x for x in map(_letter, token.lower()) if x)
 
 
-def tokens_of(text: str) -> set[str]:
-    """The distinct tokens of a text, and letters that are written apart, put together."""
+def token_counts(text: str) -> Counter[str]:
+    """How often each token stands in a text, and letters that are written apart, put together."""
     lower = text.lower()
-    found = set(lower.split())
+    found = Counter(lower.split())
     found.update("".join(m[0].split()) for m in apart(lower))
     return found
 
 
+def tokens_of(text: str) -> set[str]:
+    """The distinct tokens of a text, and letters that are written apart, put together."""
+    return set(token_counts(text))
+
+
+def words_of(text: str) -> tuple[set[str], set[str]]:
+    """The coded words of a text, and the marked beginnings that enough of its words share."""
+    tokens = token_counts(text)
+    words = Counter()
+    for t, k in tokens.items():
+        words["".join(map(chr, coded(t)))] += k
+    begun = Counter()
+    for w, k in words.items():
+        for n in STEMS:
+            if len(w) >= n:
+                begun[w[:n]] += k
+    least = HEAVY * tokens.total()
+    return set(words), {STEM + w for w, k in begun.items() if k >= least}
+
+
 @lru_cache(maxsize=64)
 def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the subsequences within n characters, and their weights."""
@@ -150,12 +173,13 @@ def kernels(words: list[tuple[int, ...]], landmarks: list[tuple[int, ...]]) -> n
 
 @dataclass(frozen=True)
 class Machine:
-    """The machine as a weight for each subsequence; `slopes` and `least` map a document's worst words to its score."""
+    """The machine as a weight for each subsequence, and marked beginnings; `slopes` and `least` map a document's measures to its score."""
 
     weights: np.ndarray | None
     bias: float = 0.0
-    slopes: tuple[float, ...] = (4.0, *[0.0] * WORST)
+    slopes: tuple[float, ...] = (4.0, *[0.0] * (MEASURES - 1))
     least: float = 0.0
+    stems: frozenset[str] = frozenset()
 
     def words(self, words: list[tuple[int, ...]]) -> np.ndarray:
         """What the machine says of each word; of one too short for the kernel, the bias."""
@@ -165,36 +189,48 @@ class Machine:
             np.maximum.at(out, at, (self.weights[ids] * w).sum(axis=1) + self.bias)
         return np.where(np.isinf(out), self.bias, out)
 
-    def score(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(worst @ np.array(self.slopes) - self.least + np.log(CUT / (1 - CUT)), -60, 60)))
+    def begins(self, words: list[tuple[int, ...]]) -> list[bool]:
+        """Whether each word begins like marked ones."""
+        return [any(w[:n] in self.stems for n in STEMS) for w in ("".join(map(chr, code[:STEMS[-1]])) for code in words)]
+
+    def score(self, measures: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(measures @ np.array(self.slopes) - self.least + np.log(CUT / (1 - CUT)), -60, 60)))
 
 
 class Scorer:
     """Scores documents, and remembers the tokens seen."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.seen = machine, {}
+        self.machine, self.seen, self.begun = machine, {}, set()
 
-    def worst(self, texts: list[str]) -> np.ndarray:
-        """What the machine says of the `WORST` worst words of each text, worst first, and how many words it has."""
-        out = np.full((len(texts), WORST + 1), self.machine.bias)
+    def measures(self, texts: list[str]) -> np.ndarray:
+        """`MEASURES` numbers of each text: what the machine says of its worst words, worst first, how many words it has, and shares
+        and numbers of its words, repeats included, by margin and of those that begin like marked ones."""
+        out = np.full((len(texts), MEASURES), self.machine.bias)
         for i, text in enumerate(texts):
-            tokens = tokens_of(text)
+            tokens = token_counts(text)
             if len(self.seen) > REMEMBERED:
                 self.seen.clear()
-            new = list(tokens.difference(self.seen))
+                self.begun.clear()
+            new = [t for t in tokens if t not in self.seen]
             for lo in range(0, len(new), 20_000):
                 part = new[lo:lo + 20_000]
-                self.seen.update(zip(part, self.machine.words(list(map(coded, part))).tolist()))
-            said = nlargest(WORST, map(self.seen.__getitem__, tokens))
-            out[i, :len(said)] = np.clip(said, -2, 2)
+                words = list(map(coded, part))
+                self.seen.update(zip(part, self.machine.words(words).tolist()))
+                self.begun.update(t for t, own in zip(part, self.machine.begins(words)) if own)
+            said = np.fromiter(map(self.seen.__getitem__, tokens), np.float64, len(tokens))
+            times = np.fromiter(tokens.values(), np.float64, len(tokens))
+            worst = -np.sort(-said)[:WORST]
+            out[i, :len(worst)] = np.clip(worst, -2, 2)
             out[i, WORST] = np.log1p(len(tokens)) / 5
+            counts = np.array([*(times[said > m].sum() for m in MARGINS), sum(tokens[t] for t in self.begun.intersection(tokens))])
+            out[i, WORST + 1:] = np.log1p([*(100 * counts / max(1.0, times.sum())), *counts])
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.machine.weights is None:
             return np.full(len(texts), 0.1)
-        return self.machine.score(self.worst(texts))
+        return self.machine.score(self.measures(texts))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -277,9 +313,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 n[y] += 1
-                words = {"".join(map(chr, code)) for t in tokens_of(text) if len(code := coded(t)) >= ORDER - 1}
-                seen[y].update(words)
-                seen[y].update({STEM + w[:n] for w in words for n in STEMS if len(w) > n})
+                words, begun = words_of(text)
+                seen[y].update(w for w in words if len(w) >= ORDER - 1)
+                seen[y].update(begun)
         seen[0][""], seen[1][""] = n[0], n[1]
         words = list(seen[0].keys() | seen[1].keys())
         for i in range(0, len(words), 10_000):
@@ -303,19 +339,19 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     stems = [w[1:] for w in insults if w[0] == STEM]
     insults = [w for w in insults if w[0] != STEM]
     words = counted.where(~F.col("word").startswith(STEM) & (F.col("word") != ""))
+    begins = F.lit(False)
     if stems:
-        begins = F.lit(False)
         for n in STEMS:
             begins = begins | F.substring("word", 1, n).isin([w for w in stems if len(w) == n])
         alike = words.where(begins & (F.col("clean") == 0)).orderBy(F.desc("toxic"), "word").select("word").limit(2_000).collect()
         insults = list(dict.fromkeys([*insults, *(r["word"] for r in alike)]))
-    plain = words.where("clean > 0").select("word").orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS).collect()
+    plain = words.where("clean > 0").where(~begins).select("word").orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS).collect()
     marked = set(insults)
     as_code = lambda w: tuple(map(ord, w))
     if not insults:
         return Machine(None)
     machine = fit(list(map(as_code, insults)), [as_code(r["word"]) for r in plain if r["word"] not in marked])
-    return calibrate(machine, kept_back)
+    return calibrate(replace(machine, stems=frozenset(stems)), kept_back)
 
 
 def occasions(rows: DataFrame, words: set[str]) -> dict[str, int]:
@@ -326,8 +362,8 @@ def occasions(rows: DataFrame, words: set[str]) -> dict[str, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                own = {"".join(map(chr, coded(t))) for t in tokens_of(text)}
-                found = list(words.intersection(own) | words.intersection(STEM + w[:n] for w in own for n in STEMS if len(w) > n))
+                own, begun = words_of(text)
+                found = list(words & (own | begun))
                 least = min((crc32(w.encode()) for w in own), default=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([least] * len(found), pa.int64())], ["word", "least"])
 
@@ -336,7 +372,7 @@ def occasions(rows: DataFrame, words: set[str]) -> dict[str, int]:
 
 
 def calibrate(machine: Machine, rows: DataFrame) -> Machine:
-    """How a document's worst words make its score, by logistic regression on `rows`, on which the machine was not fitted.
+    """How a document's measures make its score, by logistic regression on `rows`, on which the machine was not fitted.
 
     The score reaches `CUT` where toxic and clean documents are told apart best; a clean one taken for toxic counts as much as
     `CAREFUL` toxic ones missed, by shares.
@@ -344,16 +380,16 @@ def calibrate(machine: Machine, rows: DataFrame) -> Machine:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(machine)
         for batch in batches:
-            worst = scorer.worst(batch.column(1).to_pylist()).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(worst, pa.list_(pa.float64()))], ["y", "worst"])
+            found = scorer.measures(batch.column(1).to_pylist()).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["y", "measures"])
 
-    got = sorted((r["worst"], r["y"]) for r in rows.mapInArrow(run, "y int, worst array<double>").collect())  # part of the sample
-    x, y = np.array([w for w, _ in got]).reshape(-1, WORST + 1), np.array([y for _, y in got])
+    got = sorted((r["measures"], r["y"]) for r in rows.mapInArrow(run, "y int, measures array<double>").collect())  # part of the sample
+    x, y = np.array([w for w, _ in got]).reshape(-1, MEASURES), np.array([y for _, y in got])
     if not y.any() or y.all():
         return machine
     x1 = np.hstack([x, np.ones((len(x), 1))])
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    w = np.zeros(WORST + 2)
+    w = np.zeros(MEASURES + 1)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
         step = np.linalg.solve((x1 * (share * p * (1 - p))[:, None]).T @ x1 + 1e-4 * np.eye(len(w)), x1.T @ (share * (y - p)) - 1e-4 * w)
@@ -365,7 +401,7 @@ def calibrate(machine: Machine, rows: DataFrame) -> Machine:
     errors = missed + CAREFUL * (passed[-1] - passed)
     at = np.flatnonzero(errors <= errors.min() + 1e-12)
     edges = np.concatenate([[said.min() - 1], said[order], [said.max() + 1]])
-    return Machine(machine.weights, machine.bias, tuple(w[:-1]), float(np.median((edges[at] + edges[at + 1]) / 2)))
+    return replace(machine, slopes=tuple(w[:-1]), least=float(np.median((edges[at] + edges[at + 1]) / 2)))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

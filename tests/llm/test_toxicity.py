@@ -51,6 +51,17 @@ def test_held_out_documents(spark):
     assert sum(r["predicted"] for r in toxic) >= 0.95 * len(toxic) and len(toxic) > 50
 
 
+def test_repeated_words_count(spark):
+    """Documents of the same words: one with insults all over is told from one that has each once."""
+    rng = random.Random(3)
+    fine = ["fine", "words", "here", "there", "house", "garden", "river", "stone"]
+    machine = toxicity.fit([coded("idiot")], list(map(coded, fine)))
+    rows = [(i % 2, " ".join([*fine, *rng.choices(fine, k=40), *["idiot"] * (8 if i % 2 else 1)])) for i in range(200)]
+    told = toxicity.calibrate(machine, spark.createDataFrame(rows, "y int, text string"))
+    got = toxicity.Scorer(told).scores([t for _, t in rows]) >= toxicity.CUT
+    assert got.tolist() == [y == 1 for y, _ in rows]
+
+
 def test_inserted_characters():
     rng = random.Random(1)
     syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "st"]
