@@ -27,7 +27,9 @@ from roadstream.llm.common import whole_text
 from roadstream.llm.hashing import mixed, powers
 
 #: Code points of a k-mer, hash functions, k-mers of a tuple.
-K, HASHES, LENGTH = 10, 16, 2
+K, HASHES, LENGTH = 10, 64, 2
+#: Ranks that are held at once, as long as they are of one hash function.
+RANKS = 1 << 16
 #: Documents of a cell, as long as there are no more than `CELLS` cells.
 ROWS, CELLS = 500, 40_000
 
@@ -67,15 +69,18 @@ def signature(text: str) -> np.ndarray:
     found = kmers(text)
     if not len(found):
         return np.zeros(HASHES, np.uint32)
+    width, step = min(LENGTH, len(found)), max(1, RANKS // len(found))
+    picked = np.empty((HASHES, width), np.int64)
+    for lo in range(0, HASHES, step):
+        ranked = found ^ _flips[lo:lo + step, None]
+        ranked *= _odd[lo:lo + step, None]
+        for k in range(width):
+            least = ranked.argmin(axis=1)
+            picked[lo:lo + step, k] = least
+            ranked[np.arange(len(ranked)), least] = _most
+    picked.sort(axis=1)
     tuples = np.zeros((HASHES, LENGTH), np.uint64)
-    for i in range(HASHES):
-        ranked = (found ^ _flips[i]) * _odd[i]
-        picked = []
-        for _ in range(min(LENGTH, len(found))):
-            picked.append(int(ranked.argmin()))
-            ranked[picked[-1]] = _most
-        picked.sort()
-        tuples[i, :len(picked)] = found[picked]
+    tuples[:, :width] = found[picked]
     return ((mixed((tuples * _place).sum(axis=1, dtype=np.uint64)) >> np.uint64(33)) + np.uint64(1)).astype(np.uint32)
 
 

@@ -74,6 +74,14 @@ def test_neighbours(spark, monkeypatch, size):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+def test_a_replaced_half_shows(spark):
+    """A document is always nearer to its edited text than to the next one."""
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(300, 1500))), 0, "") for i in range(150)]
+    got = neighbours(table(spark, rows)).collect()
+    assert len(got) == 150 and all(r["near_edited"] > r["near_next"] for r in got)
+
+
 def test_odd_tables(spark, monkeypatch):
     assert neighbours(table(spark, [])).count() == 0
     for rows in ([(5, "only one", 0, "")], [(1, None, 0, ""), (2, None, 0, "")], [(1, "x" * 300_000, 0, ""), (2, "y", 0, "")]):
