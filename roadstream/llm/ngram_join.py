@@ -11,7 +11,11 @@
    it shares in these blocks is less than the sizes of the rest require. The whole overlap is then taken exactly.
 4. Links make components.
 
-No link is lost: each pair of classes that are not connected already is found in step 3, whatever step 2 found. n-grams are
+`join` and `grouped` need components only, so pairs that are connected already are not compared. `links` gives every link between
+classes, and `link_counts` how many each row has: for these step 2 is left out, and step 3 covers all pairs. That is quadratic in the
+different texts of a group of near copies, as its links are.
+
+No link between components is lost: each pair of classes that are not connected already is found in step 3, whatever step 2 found. n-grams are
 64-bit hashes; nothing else is approximate. How rare an n-gram is comes from `BUCKETS` counters for all of them, which is
 a bounded table however large the corpus, and decides the order only.
 
@@ -283,8 +287,8 @@ def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: i
     return linked(docs, classes, stored(met.join(one, "a").join(other, "b").where(likely).select("a", "b"), "pairs"))
 
 
-def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
-    """All links between classes of different labels, but for those that others make needless."""
+def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray, turns: int = TURNS) -> DataFrame:
+    """All links between classes of different labels, but for those that others make needless; without `turns`, all of them."""
     firsts = stored(prefixes(docs, classes, counters), "prefixes")
     entries = firsts.select("cid", "label", F.explode("grams").alias("gram"))
     differ = lambda e: e.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
@@ -292,7 +296,7 @@ def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) ->
     few = shared.count() <= BROADCAST_ROWS
     entries = stored(entries.join(F.broadcast(shared) if few else shared, "gram"), "entries")
     found = None
-    for turn in range(TURNS):
+    for turn in range(turns):
         links = stored(_head_links(docs, classes, entries, turn), "links")
         if links.isEmpty():
             break
@@ -309,9 +313,8 @@ def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray) ->
     return links if found is None else found.union(links)
 
 
-def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
-    """rid, doc_id, n_shingles, component (a number, null for empty sets) and component_id of every row of `docs`."""
-    number = F.col(rid) if rid else F.monotonically_increasing_id()
+def _described(docs: DataFrame, number: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What `_describe` gives, its rows for documents, and the classes of equal sets."""
     numbered_ = docs.select(number.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     described = stored(
         numbered_.mapInArrow(_describe, "rid bigint, doc_id bigint, n bigint, m1 bigint, m2 bigint, bands array<bigint>, "
@@ -320,6 +323,12 @@ def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
     classes = stored(
         rows.where("n > 0").groupBy("m1", "m2", "n", "bands", "sketch").agg(F.min("doc_id").alias("rep"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
+    return described, rows, classes
+
+
+def grouped(docs: DataFrame, rid: str | None = None) -> DataFrame:
+    """rid, doc_id, n_shingles, component (a number, null for empty sets) and component_id of every row of `docs`."""
+    described, rows, classes = _described(docs, F.col(rid) if rid else F.monotonically_increasing_id())
     links = stored(first_links(docs, classes), "links")
     tied = components(links).withColumnRenamed("component", "label")
     tied = stored(
@@ -343,6 +352,26 @@ def join(docs: DataFrame) -> DataFrame:
     return grouped(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every link (a, b) between classes of equal sets, a < b, and the class of each row: doc_id, n_shingles, cid (null if empty)."""
+    described, rows, classes = _described(docs, F.monotonically_increasing_id())
+    untied = classes.drop("bands").withColumn("label", F.col("cid"))
+    found = stored(further_links(docs, untied, frequent(described), turns=0), "links")
+    named = classes.select("cid", F.col("m1").alias("k1"), F.col("m2").alias("k2"), F.col("n").alias("size"))
+    own = (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2")) & (F.col("n") == F.col("size"))
+    return found, rows.join(named, own, "left").select("doc_id", F.col("n").alias("n_shingles"), "cid")
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and n_links, the number of other rows that each row is linked with, rows of equal sets among them."""
+    found, members = links(docs)
+    sizes = members.where("cid IS NOT NULL").groupBy("cid").agg(F.count("*").alias("own"))
+    both = found.union(found.select("b", "a")).toDF("cid", "other")
+    others = both.join(sizes.toDF("other", "rows"), "other").groupBy("cid").agg(F.sum("rows").alias("others"))
+    counts = sizes.join(others, "cid", "left").select("cid", (F.col("own") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.join(counts, "cid", "left").select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """Of every component the document with the smallest doc_id, with all its columns; documents without words all stay."""
     rows, rid = numbered(docs)

@@ -86,6 +86,19 @@ def test_the_product_finds_all_links_by_itself(spark, monkeypatch):
     assert sorted(map(tuple, join(spark.createDataFrame(rows, SCHEMA)).collect()), key=str) == brute(rows)
 
 
+def test_every_link_is_counted(spark):
+    rows = [*corpus(4, 300), (None, None, 0, ""), (5000, "", 0, ""), (5001, "only here", 0, ""), (5002, "Only  here", 0, "")]
+    words_ = [f"g{i}" for i in range(60)]
+    rows += [(6000 + i, " ".join([*words_[:55], *(f"{w}{i}" for w in words_[55:57])]), 0, "") for i in range(20)]  # a group of near copies
+    sets = [shingles(t) for _, t, *_ in rows]
+    alike = lambda x, y: bool(x & y) and 100 * len(x & y) >= 80 * len(x | y)
+    want = [(r[0], len(x), sum(alike(x, y) for j, y in enumerate(sets) if j != i)) for i, (r, x) in enumerate(zip(rows, sets))]
+    got = ngram_join.link_counts(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == ["doc_id", "n_shingles", "n_links"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert sum(n for i, _, n in want if (i or 0) >= 6000) == 20 * 19
+
+
 def test_exactly_at_the_limit(spark):
     """8 of 10 n-grams link, 7 of 9 do not."""
     base = [f"a{i}" for i in range(13)]
