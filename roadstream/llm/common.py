@@ -36,6 +36,16 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

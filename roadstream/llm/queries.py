@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadstream.llm import byte_bpe, common, exact_dedup, fingerprints, language, mixing, ngram_join, pii, quality, secrets, toxicity
+from roadstream.llm import (
+    burst_trie, byte_bpe, common, exact_dedup, fingerprints, language, lexical_search, mixing, ngram_join, packing, pii, quality, secrets,
+    toxicity,
+)
 
-#: The rank file of the queries. Executors read it where it is installed.
+#: The files of the queries. Executors read them where they are installed.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_dedup(common.documents(spark, sf_dir)),
@@ -24,6 +28,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         common.documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).drop("ids"),
     "op9_toxicity": lambda spark, sf_dir: toxicity.classify(common.documents(spark, sf_dir), common.labels(spark, sf_dir)),
     "op10_fingerprints": lambda spark, sf_dir: fingerprints.neighbours(common.documents(spark, sf_dir)),
+    "op11_prefix_trie": lambda spark, sf_dir: burst_trie.prefix_trie(common.conversations(spark, sf_dir)),
+    "op12_packing": lambda spark, sf_dir: packing.digests(packing.pack(common.documents(spark, sf_dir), WORDS)),
+    "op13_lexical_search": lambda spark, sf_dir: lexical_search.search(
+        common.documents(spark, sf_dir), common.benchmark(spark, sf_dir)),
 }
 
 ORACLE: dict[str, str] = {
@@ -33,4 +41,6 @@ ORACLE: dict[str, str] = {
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op11_prefix_trie": burst_trie.SQL,
+    "op13_lexical_search": lexical_search.SQL,
 }
