@@ -90,7 +90,7 @@ def trie(paths: DataFrame, limit: int = LIMIT) -> DataFrame:
         finals.append(root)
     else:
         heads = stored(root.where("conv_id = head").drop("conv_id"), "heads")
-        active = paths.withColumn("head", F.lit(whole["head"]))
+        active = paths.withColumn("head", F.when(F.col("pos").isNotNull(), F.lit(whole["head"])))  # no literal, to stay an equi-join
         while True:
             level = len(bursts)
             bursts.append(_burst(active, heads, level))
