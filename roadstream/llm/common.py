@@ -5,8 +5,12 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,12 @@ from roadstream.session import shared_dir
 
 #: One word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Row numbers that are broadcast at most, after they were counted: 16 MB of longs.
+BROADCAST_IDS = 2_000_000
+#: Files of a table whose names are sent to every executor at most.
+FILES = 50_000
+
+_made: ContextVar[tuple[list[str], ...]] = ContextVar("made", default=())
 
 
 def ship(spark: SparkSession) -> None:
@@ -53,7 +63,30 @@ def whole_text(column: str = "text") -> Column:
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one that all executors share."""
-    return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    for made in _made.get():
+        made.append(path)
+    return path
+
+
+@contextmanager
+def noting(made: list[str]) -> Iterator[None]:
+    """Adds to `made` the folders that are made within."""
+    token = _made.set((*_made.get(), made))
+    try:
+        yield
+    finally:
+        _made.reset(token)
+
+
+def remove(spark: SparkSession, made: list[str], docs: DataFrame) -> list[str]:
+    """Removes the folders that `docs` does not read; the others are returned."""
+    read = docs.inputFiles()
+    needed = [p for p in made if any(Path(p).name in f for f in read)]
+    for p in set(made).difference(needed):
+        where = spark._jvm.org.apache.hadoop.fs.Path(p)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return needed
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -80,10 +113,39 @@ def bounded(df: DataFrame, rows: int, *key: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*key, F.lit("bounded")), F.lit(slots)) < int(slots * rows / total))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """`name`, or a longer one that `docs` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """A stored copy of `docs` with a row number, and that column's name, which `docs` does not have."""
+    """`docs` with a row number that stays the same, and that column's name, which `docs` does not have.
+
+    Rows of stored files are numbered by file and place in it; other rows are stored first.
+    """
     ship(docs.sparkSession)
-    name = "__rid"
-    while name in docs.columns:
-        name += "_"
-    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    name = fresh(docs, "__rid")
+    path, place = fresh(docs, "__file"), fresh(docs, "__place")
+    files = None
+    # Joins and the like would show places, too, but of several rows the same.
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and fresh(docs, "_metadata") == "_metadata":
+        try:
+            placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+            files = [r[0] for r in placed.select(path).distinct().limit(FILES + 1).collect()]
+        except AnalysisException:  # not Parquet
+            pass
+    if not files or len(files) > FILES:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    order = docs.sparkSession.createDataFrame(list(enumerate(sorted(files))), f"{name} bigint, {path} string")
+    number = F.shiftleft(name, 40).bitwiseOR(F.col(place))
+    return placed.join(F.broadcast(order), path).withColumn(name, number).drop(path, place), name
+
+
+def without(rows: DataFrame, rid: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not in `dropped`, which has that one column. Whole rows are moved only if there are too many."""
+    dropped = stored(dropped, "dropped")
+    few = dropped.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(dropped) if few else dropped, rid, "left_anti").select(*(c for c in rows.columns if c != rid))

@@ -13,37 +13,75 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import folder, numbered, whole_text
+from roadstream.llm.common import folder, numbered, stored, whole_text, without
 
+BUCKETS = 64
 SCHEMA = "digest binary, keep_id bigint, group_size bigint"
 
 
 class DigestIndex:
-    """The index at `path` (a new one if none is there). `buckets` must stay as it was when the index was made."""
+    """The index at `path` (a new one if none is there).
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64):
-        self.spark, self.buckets = spark, buckets
-        self.path = path or folder(spark, "digests")
+    Its number of buckets is written beside it: an index that is opened keeps it, and asking for another one is an error.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark, self.path = spark, path or folder(spark, "digests")
+        try:
+            made = spark.read.schema("buckets int").parquet(f"{self.path}/_buckets").first()
+        except AnalysisException:  # a new index
+            made = None
+        if made and buckets not in (None, made["buckets"]):
+            raise ValueError(f"the index has {made['buckets']} buckets, not {buckets}")
+        self.new, self.buckets = not made, made["buckets"] if made else buckets or BUCKETS
+        if self.new:
+            spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(f"{self.path}/_buckets")
         self.table = f"digests_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, group_size BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
+    def close(self) -> None:
+        """Takes the table out of the catalog; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def rows(self) -> DataFrame:
         """The index as a bucketed table."""
         return self.spark.table(self.table)
 
     def groups(self) -> DataFrame:
-        """The same rows as plain files: a join with them is shuffled on both sides, so that Spark can split a hot digest."""
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        """digest, keep_id, group_size over all batches. Read as plain files: a join with them is shuffled on both sides, so that
+        Spark can split a hot digest."""
+        rows = self.spark.read.schema(SCHEMA).parquet(self.path)
+        if self.new:
+            return rows
+        more = self._again()
+        if more is None:
+            return rows
+        return rows.join(more, "digest", "left").select(
+            "digest", "keep_id", (F.col("group_size") + F.coalesce("more", F.lit(0))).alias("group_size"))
+
+    def _again(self) -> DataFrame | None:
+        """digest, more: copies of texts that the index held already when they came."""
+        try:
+            again = self.spark.read.schema("digest binary, more bigint").parquet(f"{self.path}/_again")
+        except AnalysisException:  # no text has come again
+            return None
+        return again.groupBy("digest").agg(F.sum("more").alias("more"))
 
     def append(self, docs: DataFrame) -> None:
-        """Adds the texts of `docs` that the index does not hold. A text it holds keeps the document that stays."""
+        """Adds the texts of `docs` that the index does not hold. A text it holds keeps the document that stays, and its copies
+        are counted."""
         batch = digests(docs).groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        if not self.new:
+            batch = stored(batch, "batch")
+            again = batch.hint("merge").join(self.rows(), "digest", "left_semi")
+            again.select("digest", F.col("group_size").alias("more")).write.mode("append").parquet(f"{self.path}/_again")
         new = batch.hint("merge").join(self.rows(), "digest", "left_anti")
         (new.write.mode("append").format("parquet").option("path", self.path)
             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
@@ -53,6 +91,9 @@ class DigestIndex:
         new = DigestIndex(self.spark, buckets=self.buckets)
         (self.rows().repartition(self.buckets, "digest").write.mode("append").format("parquet").option("path", new.path)
             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(new.table))
+        if not self.new and (more := self._again()) is not None:
+            more.write.parquet(f"{new.path}/_again")
+        new.new = False
         return new
 
 
@@ -66,9 +107,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
     With an index that has seen earlier data, a text known from there keeps the earlier document.
     """
-    index = index or DigestIndex(docs.sparkSession)
-    index.append(docs)
-    joined = digests(docs).hint("merge").join(index.groups().hint("merge"), "digest")
+    groups = _seen(docs, index)
+    joined = digests(docs).hint("merge").join(groups.hint("merge"), "digest")
     return joined.select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -81,11 +121,21 @@ def keep_first_of_copies(docs: DataFrame, index: DigestIndex | None = None) -> D
 
     Rows are matched by digest and doc_id together, so that no group of copies meets in one task.
     """
-    index = index or DigestIndex(docs.sparkSession)
     rows, rid = numbered(docs)
-    index.append(rows)
     own = digests(rows, rid)
-    groups = index.groups().select("keep_id", F.col("digest").alias("group"))
+    groups = _seen(rows, index).select("keep_id", F.col("digest").alias("group"))
     staying = own.join(groups, own["doc_id"].eqNullSafe(groups["keep_id"]) & (own["digest"] == groups["group"]))
-    first = staying.groupBy("digest").agg(F.min(rid).alias(rid))
-    return rows.join(first, rid, "left_semi").drop(rid)
+    first = staying.groupBy("digest").agg(F.min(rid).alias(rid)).select(rid)
+    return without(rows, rid, own.select(rid).join(first, rid, "left_anti"))
+
+
+def _seen(docs: DataFrame, index: DigestIndex | None) -> DataFrame:
+    """The groups of the index, to which `docs` are added; of an index for this batch alone if none is given."""
+    if index:
+        index.append(docs)
+        index.new = False
+        return index.groups()
+    index = DigestIndex(docs.sparkSession)
+    index.append(docs)
+    index.close()
+    return index.groups()

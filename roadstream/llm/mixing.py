@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import WORD, numbered, stored, whole_text
+from roadstream.llm.common import WORD, fresh, numbered, stored, whole_text
 
 #: Copies of a document at most; a source can reach that many times its words.
 MOST = 3
@@ -153,6 +153,6 @@ def mix(docs: DataFrame, rid: str | None = None, weights: tuple[float, ...] = WE
 def repeat_rows(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it was given copies, with all its columns."""
     rows, rid = numbered(docs)
-    times = mix(rows, rid).where("copies > 0").select(rid, F.col("copies").alias(f"{rid}copies"))
-    repeated = rows.join(times, rid).withColumn(rid, F.explode(F.array_repeat(F.lit(True), F.col(f"{rid}copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    copies, each = fresh(rows, "__copies"), fresh(rows, "__each")
+    times = mix(rows, rid).where("copies > 0").select(rid, F.col("copies").alias(copies))
+    return rows.join(times, rid).select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col(copies).cast("int"))).alias(each)).drop(each)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import numbered, stored, whole_text
+from roadstream.llm.common import numbered, stored, whole_text, without
 from roadstream.llm.components import components
 from roadstream.llm.hashing import KEPT as SLICE
 from roadstream.llm.hashing import mixed, powers
@@ -378,5 +378,5 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
     found = grouped(rows, rid)
     by_id = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(by_id).alias("first")).select("first.rid")
-    staying = first.union(found.where("component IS NULL").select("rid")).withColumnRenamed("rid", rid)
-    return rows.join(staying, rid, "left_semi").drop(rid)
+    others = found.where("component IS NOT NULL").join(first, "rid", "left_anti").select(F.col("rid").alias(rid))
+    return without(rows, rid, others)

@@ -1,5 +1,6 @@
 from hashlib import sha256
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadstream.llm.exact_dedup import DigestIndex, exact_dedup, keep_first_of_copies
@@ -66,3 +67,38 @@ def test_a_batch_is_shuffled_but_the_index_is_not(spark):
     batch = spark.createDataFrame([(bytearray(b"1"),)], "digest binary")
     plan = batch.hint("merge").join(index.rows(), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+
+
+def test_an_index_keeps_its_number_of_buckets(spark):
+    index = DigestIndex(spark, buckets=4)
+    exact_dedup(spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "doc_id bigint, text string"), index).collect()
+    with pytest.raises(ValueError):
+        DigestIndex(spark, index.path, buckets=8)
+    again = DigestIndex(spark, index.path)
+    assert again.buckets == 4
+    batch = [(4, "x"), (5, "w"), (6, "w")]
+    got = exact_dedup(spark.createDataFrame(batch, "doc_id bigint, text string"), again)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == [(4, 1, 2, False), (5, 6, 2, False), (6, 6, 2, True)]
+
+
+@pytest.mark.parametrize("reopened", [False, True])
+def test_three_batches_against_brute_force(spark, reopened):
+    index, keep, size = DigestIndex(spark, buckets=3), {}, {}
+    for n in range(3):
+        batch = [(100 * n + i, f"text {(i * (n + 2)) % 7}") for i in range(12)]
+        for t in {t for _, t in batch}:
+            own = [i for i, u in batch if u == t]
+            keep.setdefault(t, max(own))
+            size[t] = size.get(t, 0) + len(own)
+        index = DigestIndex(spark, index.path) if reopened and n else index
+        got = exact_dedup(spark.createDataFrame(batch, "doc_id bigint, text string"), index)
+        assert sorted(tuple(r)[:4] for r in got.collect()) == [(i, keep[t], size[t], keep[t] == i) for i, t in batch]
+    compacted = index.compact().groups()
+    assert sorted(r["group_size"] for r in compacted.collect()) == sorted(size.values())
+
+
+def test_no_table_is_left_in_the_catalog(spark):
+    before = len(spark.catalog.listTables())
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert exact_dedup(df).count() == len(ROWS) and keep_first_of_copies(df).count() == 6
+    assert len(spark.catalog.listTables()) == before

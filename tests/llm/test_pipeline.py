@@ -1,5 +1,6 @@
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import public_tokenizers as P
 import pytest
@@ -35,9 +36,9 @@ def test_against_brute_force(spark):
     assert 0 < len(rows) < len(scores) and max(want.values()) > 1
 
 
-@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None, 1), (None, "", "a", None, 0, 1), (2, "a b c d e f", "b", "en", 1, 0), (2, "a b c d e f", "b", "en", 1, 0)]])
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None, 1, 2), (None, "", "a", None, 0, 1, 2), (2, "a b c d e f", "b", "en", 1, 0, 3), (2, "a b c d e f", "b", "en", 1, 0, 3)]])
 def test_stages_keep_the_columns(spark, rows):
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint, __rid int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint, __RID int, __ridcopies int")
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         out = common.stored(stage(spark, docs, SF), "test")
         if i < len(corpus_pipeline.STAGES) - 1:
@@ -45,3 +46,31 @@ def test_stages_keep_the_columns(spark, rows):
             assert out.count() <= 3 * docs.count()
             docs = out
     assert out.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == docs.count()
+
+
+def test_folders_of_finished_stages_are_removed(spark):
+    made = []
+    with common.noting(made):
+        docs = corpus_pipeline.run(spark, SF)
+        assert docs.count() > 0
+    left = [p for p in made if Path(p).exists()]
+    assert left == [made[-1]] and any(made[-1] in f for f in docs.inputFiles())
+    assert not corpus_pipeline._made
+
+
+def test_a_stage_leaves_what_its_input_is_read_from(spark):
+    (_, first), (_, second) = corpus_pipeline.STAGES[1:3]
+    docs = common.documents(spark, SF)
+    lazy = first(spark, docs, SF)  # not written in between
+    assert second(spark, lazy, SF).count() == second(spark, common.stored(first(spark, docs, SF), "test"), SF).count()
+
+
+def test_rows_are_numbered_by_their_place(spark):
+    docs = common.stored(spark.range(1000).selectExpr("id AS doc_id", "'x' AS text").repartition(7), "test")
+    rows, rid = common.numbered(docs)
+    assert rows.select(rid).distinct().count() == 1000
+    assert rows.select(rid, "doc_id").exceptAll(common.numbered(docs)[0].select(rid, "doc_id")).isEmpty()
+    twice, rid = common.numbered(docs.union(docs))
+    assert twice.select(rid).distinct().count() == 2000
+    joined, rid = common.numbered(docs.crossJoin(spark.range(2).withColumnRenamed("id", "n")))
+    assert joined.select(rid).distinct().count() == 2000
