@@ -22,6 +22,19 @@ def violations(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> Data
     )
 
 
+def serious_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors at high speed: most cars have none."""
+    return passes(spark, sf_dir).where("event_type = 'error' AND speed > 200").selectExpr(
+        "car", "'error' AS violation", "action_time AS create_time"
+    )
+
+
+def minute_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic with times cut to minutes: passes of a car share their row key."""
+    cut = F.col("action_time") - F.pmod("action_time", F.lit(60_000))
+    return traffic(spark, sf_dir).withColumn("action_time", cut)
+
+
 def police_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passes(spark, sf_dir).where("event_type = 'purchase'").selectExpr(
         "concat('J', lpad(cast(event_id % 50 AS string), 4, '0')) AS police_id",
@@ -40,6 +53,17 @@ def monitor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def limit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posted limits as versions from the start, and sign-ups as later ones, 0 among them."""
+    first = monitor_info(spark, sf_dir).selectExpr(
+        "monitor_id", "speed_limit", f"{EPOCH_MS} AS valid_from"
+    )
+    later = passes(spark, sf_dir).where("event_type = 'signup'").selectExpr(
+        "monitor_id", "cast(event_id % 6 * 20 AS int) AS speed_limit", "action_time AS valid_from"
+    )
+    return first.unionByName(later)
+
+
 def passes(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
     """All events as passes, with their `event_type`."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

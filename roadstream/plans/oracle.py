@@ -27,6 +27,9 @@ _VIOLATION = """
 violation AS (
   SELECT car, 'error' AS violation, action_time AS create_time FROM traffic WHERE event_type = 'error')"""
 
+_SERIOUS = """
+serious AS (SELECT car FROM traffic WHERE event_type = 'error' AND speed > 200)"""
+
 _POLICE = """
 police AS (
   SELECT 'J' || lpad((event_id % 50)::VARCHAR,4,'0') AS police_id, car, 'done' AS action_status, action_time
@@ -47,6 +50,18 @@ SELECT car, monitor_id, road_id, speed AS real_speed, limit_speed, action_time,
 FROM traffic JOIN limits USING (monitor_id)
 WHERE limit_speed * 1.1::DOUBLE < speed"""
 
+_VERSIONS = _with(TRAFFIC, """
+given AS (
+  SELECT lpad(n_nationkey::VARCHAR,4,'0') AS monitor_id, ((n_nationkey % 5) * 20)::INTEGER AS limit_speed,
+    1704067200000 AS valid_from FROM nation
+  UNION ALL
+  SELECT monitor_id, (event_id % 6 * 20)::INTEGER, action_time FROM traffic WHERE event_type = 'signup'),
+version AS (
+  SELECT monitor_id, valid_from, max(limit_speed) AS limit_speed FROM given GROUP BY monitor_id, valid_from)""") + """
+SELECT t.car, t.monitor_id, t.road_id, t.speed AS real_speed, v.limit_speed, t.action_time, t.event_id
+FROM traffic t ASOF JOIN version v ON t.monitor_id = v.monitor_id AND t.action_time >= v.valid_from
+WHERE v.limit_speed > 0 AND v.limit_speed * 1.1::DOUBLE < t.speed"""
+
 _LIMITED = """
 limited AS (
   SELECT car, monitor_id, road_id, speed AS real_speed, coalesce(limit_speed, 60) AS limit_speed,
@@ -226,6 +241,20 @@ FROM violation v FULL OUTER JOIN police p ON {_NEAR}""",
     "violation_police_slots": _SLOTS_SQL,
     "violation_police_slots_split": _SLOTS_SQL,
     "car_tracks": _BASE + "," + _TRACKS + " SELECT * FROM tracks",
+    "speeding_versions": _VERSIONS,
+    "speeding_versions_split": _VERSIONS,
+    "area_approx_within": _with(TRAFFIC) + """
+SELECT area_id, action_time // 600000 * 600000 AS window_start, window_start + 600000 AS window_end,
+  count(DISTINCT car) AS car_count, true AS within
+FROM traffic GROUP BY 1, 2""",
+    "area_sketch_windows": _with(TRAFFIC) + """
+SELECT area_id, (action_time // 60000 - k) * 60000 AS window_start, window_start + 300000 AS window_end,
+  count(DISTINCT car) AS car_count, true AS within
+FROM traffic CROSS JOIN range(5) r(k) GROUP BY 1, 2""",
+    "car_tracks_few": _BASE + "," + _SERIOUS + "," + _TRACKS.replace("violation", "serious") + " SELECT * FROM tracks",
+    "track_store": _with(TRAFFIC.replace("AS action_time,", "// 60000 * 60000 AS action_time,"), _SERIOUS) + "," + _TRACKS.replace("violation", "serious") + """
+SELECT row_key, car, action_time, monitor_id, road_id, area_id, speed FROM tracks
+QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY event_id DESC) = 1""",
     "car_tracks_latest": _BASE + "," + _TRACKS + """
 SELECT row_key, car, action_time, monitor_id, road_id, area_id, speed FROM tracks
 QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY event_id DESC) = 1""",
@@ -255,6 +284,7 @@ SELECT 'police', car, NULL, NULL, police_id, action_status, action_time FROM pol
 
 # The streams. Wire lines have no event id: equal times are ordered by the other fields.
 _BY_FIELDS = "action_time, monitor_id, camera_id, speed, road_id, area_id"
+_BY_AREA = "action_time, monitor_id, camera_id, speed, road_id, car"
 _GROSS_STREAM = _with(TRAFFIC, _LIMITS, _gross("action_time, monitor_id, road_id, cents"))
 _MATCH = "car, start_time, end_time, start_monitor, end_monitor, pass_count, avg_speed"
 _PAIR = "violation, create_time, police_id, action_status, action_time"
@@ -266,10 +296,23 @@ SELECT car, monitor_id, road_id, real_speed, limit_speed, action_time FROM ({_SP
     "congestion_top3_stream": ORACLE["congestion_top3"],
     "area_distinct_stream": f"""
 SELECT area_id, window_start, window_end, car_count FROM ({ORACLE["area_distinct_10s"]})""",
-    "area_running_stream": _with(TRAFFIC) + """
+    "area_running_stream": _with(TRAFFIC) + f"""
+, firsts AS (
+  SELECT *, action_time // 600000 * 600000 AS window_start,
+    (row_number() OVER (PARTITION BY area_id, action_time // 600000, car ORDER BY {_BY_AREA}) = 1)::INTEGER AS is_first
+  FROM traffic),
+counted AS (
+  SELECT area_id, window_start, window_start + 600000 AS window_end, {_BY_AREA},
+    (sum(is_first) OVER (PARTITION BY area_id, window_start ORDER BY {_BY_AREA}
+                         ROWS UNBOUNDED PRECEDING))::BIGINT AS car_count
+  FROM firsts)
+SELECT *, printf('{m.AREA_COUNT}', area_id, window_start, window_end, car_count) AS message FROM counted""",
+    "area_counts_store_stream": _with(TRAFFIC) + """
 SELECT area_id, action_time // 600000 * 600000 + 600000 AS window_end,
   count(DISTINCT car) AS car_count, window_end || '_' || area_id AS window_key
 FROM traffic GROUP BY 1, 2""",
+    "speeding_versions_stream": f"""
+SELECT car, monitor_id, road_id, real_speed, limit_speed, action_time FROM ({_VERSIONS})""",
     "cloned_plates_stream": _with(TRAFFIC, _clones(10, _BY_FIELDS)) + " SELECT * FROM clones",
     "dangerous_drivers_all_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM pairs",
     "dangerous_drivers_longest_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM longest",

@@ -1,16 +1,18 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from roadstream.functions import messages
 from roadstream.functions.scalar import window_area_key
-from roadstream.operators import area, clones, danger, flow, police, speeding, tracks
+from roadstream.operators import area, clones, danger, flow, police, speeding, tracks, versions
 from roadstream.plans import fixtures as fx, streams
-from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
+from roadstream.schemas import POLICE_ACTION, TRACK, TRAFFIC, VIOLATION
+from roadstream.session import shared_dir, snapshot
+from roadstream.sinks.keyed import KeyedStore
 from roadstream.sources import lines
-from roadstream.streaming.area_counts import area_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +40,15 @@ def with_default_limit(spark, sf_dir):
     return speeding.with_limit(fx.traffic(spark, sf_dir), limits(spark, sf_dir))
 
 
+def speeding_versions(spark, sf_dir, **split):
+    """Each pass against the limit that was valid at its time; limits change and are taken away."""
+    return versions.speeding_at(fx.traffic(spark, sf_dir), fx.limit_versions(spark, sf_dir), **split)
+
+
+def speeding_versions_split(spark, sf_dir):
+    return speeding_versions(spark, sf_dir, **SPLIT)
+
+
 def avg_speed_sliding(spark, sf_dir):
     return flow.avg_speed(fx.traffic(spark, sf_dir))
 
@@ -74,6 +85,28 @@ def area_approx_distinct(spark, sf_dir):
     return area.area_approx_distinct(fx.traffic(spark, sf_dir))
 
 
+def area_approx_within(spark, sf_dir):
+    """Exact counts, and whether those of `area_approx_distinct` are within a tenth of them."""
+    t = fx.traffic(spark, sf_dir)
+    exact = area.area_distinct(t, area.RUNNING_MS)
+    return area.within_bound(area.area_approx_distinct(t), exact, 0.1)
+
+
+def area_sketch_windows(spark, sf_dir):
+    """Sketches per minute are stored; windows of five minutes are merged from them every minute.
+    Exact counts, and whether the merged ones are within the bound of the sketch."""
+    t = fx.traffic(spark, sf_dir)
+    path = f"{shared_dir(spark)}/sketches/{uuid.uuid4().hex}"
+    area.area_sketches(t).write.parquet(path)
+    five = area.merged_sketches(spark.read.parquet(path), 5 * area.PANE_MS, area.PANE_MS)
+    starts = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")
+    slid = t.select("*", starts).withColumn(
+        "window_start", F.col("action_time") - F.pmod("action_time", F.lit(area.PANE_MS)) - F.col("k") * area.PANE_MS)
+    exact = slid.groupBy("area_id", "window_start").agg(F.countDistinct("car").alias("car_count")).withColumn(
+        "window_end", F.col("window_start") + 5 * area.PANE_MS)
+    return area.within_bound(five, exact)
+
+
 def cloned_plates(spark, sf_dir, **split):
     return clones.cloned_plates(fx.traffic(spark, sf_dir), **split)
 
@@ -143,6 +176,26 @@ def car_tracks_latest(spark, sf_dir):
     return tracks.latest_per_key(car_tracks(spark, sf_dir))
 
 
+def car_tracks_few(spark, sf_dir):
+    """Tracks where most cars are not on the list."""
+    return tracks.car_tracks(fx.traffic(spark, sf_dir), fx.serious_violations(spark, sf_dir))
+
+
+def track_store(spark, sf_dir):
+    """Tracks whose row keys repeat, put into a keyed store by three micro-batches, of which the
+    second comes twice, with a compaction between."""
+    rows = tracks.car_tracks(fx.minute_traffic(spark, sf_dir), fx.serious_violations(spark, sf_dir))
+    rows = snapshot(rows.withColumn("third", F.ntile(3).over(Window.partitionBy("row_key").orderBy("event_id")) - 1))
+    path = f"{shared_dir(spark)}/tracks/{uuid.uuid4().hex}"
+    store = KeyedStore(spark, path, ["row_key"], TRACK)
+    for batch_id, third in ((0, 0), (1, 1), (1, 1), (2, 2)):
+        part = rows.where(F.col("third") == third)
+        store.put(tracks.latest_per_key(part), batch_id)
+        if batch_id == 1:
+            store.compact()
+    return store.read()
+
+
 def track_batches(spark, sf_dir):
     rows = tracks.track_batches(car_tracks(spark, sf_dir))
     return rows.select("event_id", "row_key", "batch_id")
@@ -191,6 +244,8 @@ def _if_good(name: str) -> Column:
 QUERIES: dict[str, Query] = {
     "speeding": speeding_passes,
     "speeding_large_lookup": speeding_large_lookup,
+    "speeding_versions": speeding_versions,
+    "speeding_versions_split": speeding_versions_split,
     "with_default_limit": with_default_limit,
     "avg_speed_sliding": avg_speed_sliding,
     "congestion_top3": congestion_top3,
@@ -200,6 +255,8 @@ QUERIES: dict[str, Query] = {
     "area_running_distinct_split": area_running_distinct_split,
     "area_bloom_distinct": area_bloom_distinct,
     "area_approx_distinct": area_approx_distinct,
+    "area_approx_within": area_approx_within,
+    "area_sketch_windows": area_sketch_windows,
     "cloned_plates": cloned_plates,
     "cloned_plates_split": cloned_plates_split,
     "clone_once_per_day": clone_once_per_day,
@@ -212,7 +269,9 @@ QUERIES: dict[str, Query] = {
     "violation_police_slots": violation_police_slots,
     "violation_police_slots_split": violation_police_slots_split,
     "car_tracks": car_tracks,
+    "car_tracks_few": car_tracks_few,
     "car_tracks_latest": car_tracks_latest,
+    "track_store": track_store,
     "track_batches": track_batches,
     "parse_traffic_lines": parse_traffic_lines,
     "parse_violation_police": parse_violation_police,
@@ -256,10 +315,23 @@ def _danger_carried(mode: str) -> Query:
 
 
 def area_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _traffic_stream(lambda _, __, x: streams.area_running_job(x), "update")
+    """The count after each pass, and its message."""
+    counts = _traffic_run(lambda s, d: streams.running_carried)(spark, sf_dir)
     # The area of the closing row is not part of the input.
-    totals = area_totals(counts(spark, sf_dir))
-    return totals.where(F.col("area_id") != "closing action_time")
+    return counts.where(F.col("area_id") != "closing action_time").withColumn("message", messages.area_message())
+
+
+def area_counts_store_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's one value per window end and area after the stream, by key."""
+    counts = _traffic_run(
+        lambda s, d: streams.counts_to_store, read=lambda s, folder: streams.area_store(s, folder).read()
+    )(spark, sf_dir)
+    return counts.where(F.col("area_id") != "closing action_time").withColumn(
+        "window_key", window_area_key(F.col("window_end"), F.col("area_id")))
+
+
+def speeding_versions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.drain(spark, streams.limit_lines(spark, sf_dir), streams.versions_carried)
 
 
 _IN_STATE = {"bytes_per_slice": streams.BYTES_PER_STATE_SLICE}
@@ -270,6 +342,8 @@ QUERIES |= {
     "congestion_top3_stream": _traffic_stream(lambda s, d, x: streams.congestion_job(x)),
     "area_distinct_stream": _traffic_stream(lambda s, d, x: streams.area_job(x)),
     "area_running_stream": area_running_stream,
+    "area_counts_store_stream": area_counts_store_stream,
+    "speeding_versions_stream": speeding_versions_stream,
     "car_tracks_stream": _traffic_stream(
         lambda s, d, x: streams.tracks_job(x, fx.violations(s, d))
     ),

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadstream.functions.scalar import with_warning_time
-from roadstream.operators import area, clones, danger, flow, police, speeding, tracks
+from roadstream.operators import area, clones, danger, flow, police, speeding, tracks, versions
 from roadstream.plans import fixtures as fx
-from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
+from roadstream.schemas import AREA_COUNT, LIMIT_VERSION, POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
-from roadstream.sinks.writers import Writer, to_folder, write, write_speeding
-from roadstream.sources.lines import MAX_TIME, parse_police, parse_traffic, parse_violation, read_lines_stream
+from roadstream.sinks.keyed import KeyedStore
+from roadstream.sinks.writers import Writer, latest_counts, to_folder, to_keyed_store, write, write_speeding
+from roadstream.sources.lines import MAX_TIME, parse_limit_version, parse_police, parse_traffic, parse_violation, read_lines_stream
 from roadstream.streaming import carried
 from roadstream.streaming.area_counts import area_running_stream
 from roadstream.streaming.machines import (
@@ -174,14 +175,43 @@ def slots_carried(folder: str, violation_lines: DataFrame, police_lines: DataFra
     )
 
 
+def versions_carried(folder: str, lines: DataFrame, limit_lines: DataFrame) -> StreamingQuery:
+    """Speeding with limits that arrive as versions; the watermark goes by the passes."""
+    rows = versions.merged(parse_traffic(lines), parse_limit_version(limit_lines))
+    return carried.run_carried(
+        rows, "at", 5_000, carried.speeding_step(), to_folder(f"{folder}/out"),
+        f"{folder}/carried", clock=F.col("side") == versions.PASS_SIDE, trigger=ONCE,
+    )
+
+
+def running_carried(folder: str, lines: DataFrame, writer: Writer | None = None) -> StreamingQuery:
+    """The number of distinct cars after each pass, by area and window."""
+    return carried.run_carried(
+        carried.running_rows(parse_traffic(lines)), "action_time", 0, carried.running_step(),
+        writer or to_folder(f"{folder}/out"), f"{folder}/carried", trigger=ONCE,
+    )
+
+
+def area_store(spark: SparkSession, folder: str) -> KeyedStore:
+    return KeyedStore(spark, f"{folder}/store", ["window_end", "area_id"], AREA_COUNT)
+
+
+def counts_to_store(folder: str, lines: DataFrame) -> StreamingQuery:
+    """The latest count per window and area, kept in a store by key."""
+    store = area_store(lines.sparkSession, folder)
+    return running_carried(folder, lines, latest_counts(to_keyed_store(store, compact_every=2)))
+
+
 def drain(
     spark: SparkSession,
     inputs: dict[str, DataFrame],
     start: Start,
     bytes_per_slice: int = BYTES_PER_SLICE,
+    read: Callable[[SparkSession, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Results over all of `inputs` (name -> rows of `at`, `value`), taken in as streams. What
-    waits in the state is never more than a slice and the rows in the delay."""
+    waits in the state is never more than a slice and the rows in the delay. `read` gives the
+    results from the folder, if they are not in <folder>/out."""
     base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     bounds, slice_bytes = _slices(inputs, bytes_per_slice)
     array = F.array(*map(F.lit, bounds)).cast("array<bigint>")
@@ -199,7 +229,7 @@ def drain(
             start(base, **streams).awaitTermination()
     for done in ("staged", "in", "checkpoint", "carried"):
         _remove(spark, f"{base}/{done}")
-    return spark.read.parquet(f"{base}/out").drop("batch_id")
+    return read(spark, base) if read else spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -246,6 +276,16 @@ def violation_police_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFr
     }
 
 
+def limit_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Passes and versions of limits, closed at one time."""
+    rows, limits = fx.traffic(spark, sf_dir), fx.limit_versions(spark, sf_dir)
+    at = closing_time(rows.select("action_time").union(limits.select("valid_from")))
+    return {
+        "lines": _as_lines(rows, TRAFFIC, "action_time", at),
+        "limit_lines": _as_lines(limits, LIMIT_VERSION, "valid_from", at),
+    }
+
+
 def closing_time(times: DataFrame) -> int:
     """A day after the last time that a line can have, and not before `FAR_FUTURE`."""
     at = F.col(times.columns[0])

@@ -37,6 +37,29 @@ MONITOR_INFO = _struct(
     ("area_id", T.StringType()),
 )
 
+# A limit that counts from `valid_from` on; 0 takes the posted limit away.
+LIMIT_VERSION = _struct(
+    ("monitor_id", T.StringType()),
+    ("speed_limit", T.IntegerType()),
+    ("valid_from", T.LongType()),
+)
+
+TRACK = _struct(
+    ("row_key", T.StringType()),
+    ("car", T.StringType()),
+    ("action_time", T.LongType()),
+    ("monitor_id", T.StringType()),
+    ("road_id", T.StringType()),
+    ("area_id", T.StringType()),
+    ("speed", T.DoubleType()),
+)
+
+AREA_COUNT = _struct(
+    ("window_end", T.LongType()),
+    ("area_id", T.StringType()),
+    ("car_count", T.LongType()),
+)
+
 # Column lists of the result tables.
 SPEEDING_COLUMNS = ["car", "monitor_id", "road_id", "real_speed", "limit_speed", "action_time"]
 AVG_SPEED_COLUMNS = ["start_time", "end_time", "monitor_id", "avg_speed", "car_count"]

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadstream.operators.clones import once_per_day
 from roadstream.operators.tracks import latest_per_key
+from roadstream.sinks.keyed import KeyedStore
 from roadstream.schemas import (
     AVG_SPEED_COLUMNS, SPEEDING_COLUMNS, TRACK_COLUMNS, VIOLATION, VIOLATION_COLUMNS,
 )
@@ -144,6 +145,27 @@ def read_latest(
     return rows.groupBy(*key).agg(newest).select(*key, "r.*")
 
 
+def to_keyed_store(store: KeyedStore, compact_every: int = 100) -> Writer:
+    """Put to a folder that holds one row per key, and merge its change sets now and then."""
+
+    def writer(batch: DataFrame, batch_id: int) -> None:
+        store.put(batch, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            store.compact()
+
+    return writer
+
+
+def latest_counts(writer: Writer) -> Writer:
+    """Hands on one row per (window_end, area_id): running counts only grow, so the largest is the latest."""
+
+    def latest(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("window_end", "area_id").agg(F.max("car_count").alias("car_count"))
+        writer(counts, batch_id)
+
+    return latest
+
+
 def write_area_counts(df: DataFrame, writer: Writer, checkpoint: str | None = None, **kw):
     """Latest counts per (window end, area, shard), new with every micro-batch."""
     return write(df, writer, checkpoint, output_mode="update", **kw)

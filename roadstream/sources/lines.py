@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from roadstream.schemas import POLICE_ACTION, TRAFFIC, VIOLATION
+from roadstream.schemas import LIMIT_VERSION, POLICE_ACTION, TRAFFIC, VIOLATION
 
 TOO_SHORT = "too few fields"
 BAD_NUMBER = "bad number"
@@ -43,6 +43,10 @@ def parse_police(lines: DataFrame) -> DataFrame:
     return accepted(parse(lines, POLICE_ACTION), POLICE_ACTION)
 
 
+def parse_limit_version(lines: DataFrame) -> DataFrame:
+    return accepted(parse(lines, LIMIT_VERSION), LIMIT_VERSION)
+
+
 def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """All lines with the fields of `schema` and `reject_reason`, null where a line is good.
 

@@ -52,10 +52,10 @@ def _counter(shard_bits: int):
         else:
             seen, cars = np.zeros(-(-shard_bits // 8) * 8, dtype=np.uint8), 0
         for frame in frames:
-            for a, b in zip(frame["bit0"].to_numpy(), frame["bit1"].to_numpy()):
-                if not (seen[a] and seen[b]):
-                    seen[a] = seen[b] = 1
-                    cars += 1
+            # A pass counts if it is the first for one of its bits, as in `area_bloom_distinct`.
+            bits, first = np.unique(frame[["bit0", "bit1"]].to_numpy().ravel(), return_index=True)
+            cars += len(np.unique(first[seen[bits] == 0] // 2))
+            seen[bits] = 1
         state.update((np.packbits(seen).tobytes(), cars))
         state.setTimeoutTimestamp(max(int(key[1]), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(*key, cars)], columns=[*_KEYS, "car_count"])

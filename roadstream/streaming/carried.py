@@ -11,13 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream.operators.area import RUNNING_MS, first_passes, running_since
 from roadstream.operators.clones import GAP_SEC, clone_alarms, clone_columns, paired_passes
 from roadstream.operators.danger import TIMES, WITHIN_MS, matches_of
 from roadstream.operators.ordered import following
 from roadstream.operators.police import BOUND_MS, SLOT_FIELDS, slot_outcomes, slot_rows
+from roadstream.operators.speeding import SPEEDING_TOLERANCE
+from roadstream.operators.versions import open_versions, over_valid_limit
 from roadstream.sinks.writers import Writer, write
 
 Hold = Callable[[DataFrame], DataFrame]
@@ -39,6 +42,7 @@ def run_carried(
     writer: Writer,
     folder: str,
     sides: str | None = None,
+    clock: Column | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     trigger: dict | None = None,
 ) -> StreamingQuery | None:
@@ -46,9 +50,12 @@ def run_carried(
 
     `prepare` makes the rows of the step from those of a micro-batch, which may be fewer: the
     watermark goes by all of them. It is `delay_ms` behind the newest row; with a column `sides`
-    of two values (0, 1), behind the newest of the side that is further back.
+    of two values (0, 1), behind the newest of the side that is further back. Rows for which
+    `clock` does not hold neither move it nor are they ever late.
     """
 
+    moves = F.lit(True) if clock is None else clock
+
     def each(batch: DataFrame, batch_id: int) -> None:
         spark, held = batch.sparkSession, []
 
@@ -57,10 +64,10 @@ def run_carried(
             return df
 
         old, newest = _read_progress(spark, folder, batch_id - 1)
-        late = F.lit(False) if old == NO_WATERMARK else F.col(time_col) <= old
+        late = F.lit(False) if old == NO_WATERMARK else moves & (F.col(time_col) <= old)
         fresh = hold(batch.where(~late))
         side = F.col(sides) if sides else F.lit(0)
-        for r in fresh.groupBy(side.alias("s")).agg(F.max(time_col).alias("t")).collect():
+        for r in fresh.where(moves).groupBy(side.alias("s")).agg(F.max(time_col).alias("t")).collect():
             newest[r["s"]] = max(r["t"], newest.get(r["s"], r["t"]))
         complete = len(newest) == (2 if sides else 1)
         now = max(old, min(newest.values()) - delay_ms, NO_WATERMARK) if complete else old
@@ -151,3 +158,33 @@ def slot_step(wait_ms: int = BOUND_MS, **split) -> Step:
 
 def slot_sides(violations: DataFrame, police: DataFrame) -> DataFrame:
     return slot_rows(violations, police).select("car", "at", "side", *SLOT_FIELDS)
+
+
+def speeding_step(tolerance: float = SPEEDING_TOLERANCE, **split) -> Step:
+    """Keeps the open version of each checkpoint. Takes rows of `versions.merged`; versions should not move the watermark
+    (`clock`), as limits change seldom: one that comes late counts for the passes not judged yet."""
+
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        due = hold(due)
+        return over_valid_limit(due, tolerance, **split), open_versions(due)
+
+    return step
+
+
+def running_rows(traffic: DataFrame) -> DataFrame:
+    """Passes for `running_step`; `seen` marks carried rows."""
+    return traffic.drop("event_ts").withColumn("seen", F.lit(False))
+
+
+def running_step(window_ms: int = RUNNING_MS, **split) -> Step:
+    """Keeps the first pass of each car per area and window that is still open: a pass adds to the count of its window what
+    was carried for it, and the passes of the micro-batch before it."""
+
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        due = hold(due)
+        firsts = hold(first_passes(due, window_ms))
+        results = running_since(due, firsts, window_ms, split)
+        kept = firsts.where(F.col("window_start") + window_ms > now)
+        return results, kept.select(*[F.lit(True).alias("seen") if c == "seen" else c for c in due.columns])
+
+    return step
