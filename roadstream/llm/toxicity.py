@@ -129,14 +129,13 @@ def features(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = np.zeros((len(rows), len(places)), np.int64)
     for k in range(ORDER):
         ids = ids * SYMBOLS + rows[:, places[:, k]]
-    order = np.argsort(ids, axis=1, kind="stable")
-    ordered, w = np.take_along_axis(ids, order, 1), weights[order]
-    new = np.ones(ordered.shape, bool)
-    new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-    runs = np.cumsum(new, axis=1) - 1
-    sums = np.zeros(ordered.shape)
-    np.add.at(sums, (np.arange(len(rows))[:, None], runs), w)
-    norm = np.sqrt((sums ** 2).sum(axis=1, keepdims=True))
+    bits = len(places).bit_length()
+    keys = np.sort((ids << bits | np.arange(len(places))).astype(np.uint32 if ORDER * 5 + bits <= 32 else np.uint64), axis=1)
+    new = np.ones(keys.shape, bool)
+    new[:, 1:] = keys[:, 1:] >> bits != keys[:, :-1] >> bits
+    runs = np.cumsum(new.ravel()) - 1
+    sums = np.bincount(runs, weights[keys & ((1 << bits) - 1)].ravel())  # by row and subsequence
+    norm = np.sqrt(np.add.reduceat(sums ** 2, runs.reshape(keys.shape)[:, 0]))[:, None] if len(rows) else np.ones((0, 1))
     return ids, weights[None, :] / norm
 
 
@@ -206,18 +205,18 @@ class Scorer:
     def measures(self, texts: list[str]) -> np.ndarray:
         """`MEASURES` numbers of each text: what the machine says of its worst words, worst first, how many words it has, and shares
         and numbers of its words, repeats included, by margin and of those that begin like marked ones."""
+        if len(self.seen) > REMEMBERED:
+            self.seen.clear()
+            self.begun.clear()
+        counted = list(map(token_counts, texts))
+        new = list(dict.fromkeys(t for tokens in counted for t in tokens if t not in self.seen))
+        for lo in range(0, len(new), 20_000):
+            part = new[lo:lo + 20_000]
+            words = list(map(coded, part))
+            self.seen.update(zip(part, self.machine.words(words).tolist()))
+            self.begun.update(t for t, own in zip(part, self.machine.begins(words)) if own)
         out = np.full((len(texts), MEASURES), self.machine.bias)
-        for i, text in enumerate(texts):
-            tokens = token_counts(text)
-            if len(self.seen) > REMEMBERED:
-                self.seen.clear()
-                self.begun.clear()
-            new = [t for t in tokens if t not in self.seen]
-            for lo in range(0, len(new), 20_000):
-                part = new[lo:lo + 20_000]
-                words = list(map(coded, part))
-                self.seen.update(zip(part, self.machine.words(words).tolist()))
-                self.begun.update(t for t, own in zip(part, self.machine.begins(words)) if own)
+        for i, tokens in enumerate(counted):
             said = np.fromiter(map(self.seen.__getitem__, tokens), np.float64, len(tokens))
             times = np.fromiter(tokens.values(), np.float64, len(tokens))
             worst = -np.sort(-said)[:WORST]
