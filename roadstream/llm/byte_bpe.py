@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -191,6 +191,12 @@ class Encoder(dict):
             self[piece] = found
         return found
 
+    def forget(self) -> None:
+        """Gives back the memory of what is remembered."""
+        self.clear()
+        self.older = {}
+        self.vocabulary.known.clear()
+
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
 
@@ -206,27 +212,28 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(vocabulary(path), pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and the token ids of the whole text. `path`: the rank file, which every executor has."""
+Batches = Iterator[pa.RecordBatch]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, pattern)
-        for batch in batches:
-            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                rows = [own.encode(t) for t in part.column(1).to_pylist()]
-                flat = np.fromiter(chain.from_iterable(rows), np.int32, sum(map(len, rows)))
-                ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
-        run, "doc_id bigint, ids array<int>")
-
-
-def decode(encoded: DataFrame, path: str, kept: str = "doc_id bigint") -> DataFrame:
-    """`encoded` with the bytes that its column `ids` stands for, as `decoded`. `kept`: its other columns' schema."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoding(path: str, pattern: str) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        own = encoder(path, pattern)
+        try:
+            for batch in batches:
+                for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                    rows = [own.encode(t) for t in part.column(1).to_pylist()]
+                    flat = np.fromiter(chain.from_iterable(rows), np.int32, sum(map(len, rows)))
+                    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+        finally:
+            own.forget()  # the worker may go on with other work
+
+    return run
+
+
+def _decoding(path: str) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         table = vocabulary(path).table
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
@@ -235,14 +242,30 @@ def decode(encoded: DataFrame, path: str, kept: str = "doc_id bigint") -> DataFr
                 decoded = pc.binary_join(pa.ListArray.from_arrays(ends, table.take(ids.flatten())), b"")
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, "decoded"])
 
+    return run
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id and the token ids of the whole text. `path`: the rank file, which every executor has."""
+    return _texts(docs).mapInArrow(_encoding(path, pattern), "doc_id bigint, ids array<int>")
+
+
+def decode(encoded: DataFrame, path: str, kept: str = "doc_id bigint") -> DataFrame:
+    """`encoded` with the bytes that its column `ids` stands for, as `decoded`. `kept`: its other columns' schema."""
     names = [x.split()[0] for x in kept.split(",")]
-    return encoded.select(*names, "ids").mapInArrow(run, f"{kept}, ids array<int>, decoded binary")
+    return encoded.select(*names, "ids").mapInArrow(_decoding(path), f"{kept}, ids array<int>, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, n_tokens and digests of the ids and of what they decode to."""
     ids_text = F.concat_ws(",", F.col("ids").cast("array<string>"))
-    coded = decode(encode(docs, path, pattern), path)
+    encoding, decoding = _encoding(path, pattern), _decoding(path)
+    coded = _texts(docs).mapInArrow(  # both in one worker
+        lambda batches: decoding(encoding(batches)), "doc_id bigint, ids array<int>, decoded binary")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), "ids",
