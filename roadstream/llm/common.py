@@ -18,6 +18,8 @@ from roadstream.session import shared_dir
 
 #: One word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that are sent to a Python worker at once; the operators take no more at a time.
+BATCH, ROWS_SENT = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
 #: Row numbers that are broadcast at most, after they were counted: 16 MB of longs.
 BROADCAST_IDS = 2_000_000
 #: Files of a table whose names are sent to every executor at most.
@@ -27,8 +29,13 @@ _made: ContextVar[tuple[list[str], ...]] = ContextVar("made", default=())
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application: they may not have it installed."""
+    """Sends this package to the Python workers, once per application: they may not have it installed.
+
+    Also bounds the rows that are sent to a worker at once, unless the session has a number of its own: texts can be long.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":  # as Spark has it
+        spark.conf.set(BATCH, ROWS_SENT)
     if not getattr(sc, "_roadstream_shipped", False):
         package = Path(__file__).resolve().parents[1]
         made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='roadstream-')}/package", "zip", package.parent, package.name)
