@@ -228,6 +228,7 @@ def _encoding(path: str, pattern: str) -> Callable[[Batches], Batches]:
                     yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
         finally:
             own.forget()  # the worker may go on with other work
+            pa.default_memory_pool().release_unused()
 
     return run
 
