@@ -4,7 +4,8 @@ The network reads windows of `WINDOW` code points. It is trained in numpy, by ba
 likelihood, on the labelled spans of at most `TRAIN_WINDOWS` windows from at most about `TRAIN_ROWS` documents, chosen by a hash of the text;
 the labels are the spans of the expressions. In use, windows overlap by half. Each character takes its emission scores from the
 window in whose middle it lies, and one Viterbi path is decoded over the whole stretch of windows, so that spans may go
-across them. A span of the network is added if it holds `LEAST` code points at least and overlaps no span of the expressions.
+across them. A span of the network is added if it holds `LEAST` code points at least, overlaps no span of the expressions, and can be
+what it is taken for: a card passes Luhn, an ip its bounds.
 
 Every span has a digit or an at sign by definition; a window without either holds none and is not read by the network. That
 is a property of the spans, so nothing is lost by it.
@@ -42,6 +43,7 @@ _ip = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")  # a run of digits that fai
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _cue = re.compile(r"[0-9@]")
+_numbers = re.compile("[0-9]+").findall
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -297,6 +299,31 @@ def tagged(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str]]]
     return found
 
 
+def plausible(text: str, network: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those spans of the network that can be what they are taken for: it cannot see a checksum or a bound.
+
+    A card has 14 to 19 digits that pass Luhn, an ip four numbers of at most 255, an email a name, an at sign and a domain
+    with a dot, however they are spaced; a phone 10 to 15 digits.
+    """
+    out = []
+    for a, b, kind in network:
+        part = text[a:b]
+        digits = "".join(_numbers(part))
+        if kind == "card":
+            good = 14 <= len(digits) <= 19 and _luhn(digits)
+        elif kind == "ip":
+            numbers = [n.lstrip("0") for n in _numbers(part)]
+            good = len(numbers) == 4 and all(len(n) <= 3 and int(n or 0) <= 255 for n in numbers)
+        elif kind == "email":
+            name, _, domain = part.partition("@")
+            good = bool(name.strip()) and "." in domain.strip(" .")
+        else:
+            good = 10 <= len(digits) <= 15
+        if good:
+            out.append((a, b, kind))
+    return out
+
+
 def added_spans(text: str, base: list[tuple[int, int, str]], network: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Those spans of the network that add something."""
     out, ordered, at, reach = [], sorted(base), 0, 0
@@ -371,7 +398,7 @@ def scan(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
                     base = base_spans(texts[i])
                     kinds = [k for _, _, k in base]
                     out[i] = (*(kinds.count(k) for k in KINDS), sha256(listed(base).encode()).hexdigest(),
-                              listed(base + added_spans(texts[i], base, network)))
+                              listed(base + added_spans(texts[i], base, plausible(texts[i], network))))
                 columns = list(zip(*out)) or [()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:])],

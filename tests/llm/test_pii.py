@@ -116,6 +116,19 @@ def test_added_spans_overlap_no_base_span():
     assert added_spans(text, base, [(0, 9, "ip"), (28, 38, "card"), (30, 40, "card"), (41, 43, "ip")]) == [(30, 40, "card")]
 
 
+def test_only_plausible_spans_of_the_network_are_added():
+    texts = {
+        "card": ([CARD, CARD.replace(" ", "  ")], ["4111 1111 1111 1112", "4111", "1234567890123456"]),
+        "ip": (["1.2.3.4", "1 . 2 . 3 . 255", "010.0.0.1"], ["1.2.3.256", "1.2.3", "1.2.3.4.5"]),
+        "email": (["a @ b.org", "x.y@z.example"], ["@b.org", "a@b", "a b c 1", "a@ ."]),
+        "phone": (["+1 (843) 555-7672", "8435557672"], ["+1 555", "1234567890123456"]),
+    }
+    for kind, (good, bad) in texts.items():
+        for text in (*good, *bad):
+            spans = [(0, len(text), kind)]
+            assert pii.plausible(text, spans) == (spans if text in good else []), (kind, text)
+
+
 def test_query_rows(spark, tagger):
     texts = [None, "", "no data", "mail a.b@x.org now", "call +1 (654) 555-7485", CARD, "é\U0001f600 1.2.3.4", "x" * 100_000 + "@", "call +1 (654) 555-7485"]
     rows = [(i, t, "x", 0) for i, t in enumerate(texts)] + [(None, "1.2.3.4", None, None)]
