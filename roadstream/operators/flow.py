@@ -9,6 +9,7 @@ from roadstream.schemas import AVG_SPEED_COLUMNS
 
 WINDOW_MS = 300_000
 SLIDE_MS = 60_000
+TOP_SHARDS = 1024  # of the checkpoints of a stream
 
 
 def avg_speed(
@@ -46,11 +47,20 @@ def avg_speed(
 
 
 def _avg_speed_stream(traffic: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
-    """As `avg_speed`, on a stream with a watermark on `event_ts`; keeps the window column."""
-    window = F.window("event_ts", _ms(window_ms), _ms(slide_ms))
+    """As `avg_speed`, on a stream with a watermark on `event_ts`; keeps the window column.
+
+    One state adds passes up in panes, a second one adds panes up in windows: only panes are
+    copied. A pass is late when its pane is over, though later windows of it may be open still;
+    `streaming.late` counts such passes too.
+    """
+    pane_ms = gcd(window_ms, slide_ms)
+    panes = traffic.groupBy(F.window("event_ts", _ms(pane_ms)), "monitor_id").agg(
+        F.sum(speed_units(F.col("speed"))).alias("units"), F.count("*").alias("n")
+    )
+    at = F.window(F.window_time("window"), _ms(window_ms), _ms(slide_ms)).alias("window")
     return (
-        traffic.groupBy(window, "monitor_id")
-        .agg(F.sum(speed_units(F.col("speed"))).alias("units"), F.count("*").alias("car_count"))
+        panes.groupBy(at, "monitor_id")
+        .agg(F.sum("units").alias("units"), F.sum("n").alias("car_count"))
         .select(
             "window",
             F.unix_millis("window.start").alias("start_time"),
@@ -63,14 +73,16 @@ def _avg_speed_stream(traffic: DataFrame, window_ms: int, slide_ms: int) -> Data
 
 
 def congestion_topn(
-    traffic: DataFrame, n: int = 3, window_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS
+    traffic: DataFrame, n: int = 3, window_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
+    shards: int = TOP_SHARDS,
 ) -> DataFrame:
     """The `n` checkpoints with most passes per window; equal counts go by checkpoint id.
 
-    Only aggregated rows are ranked: at most one per checkpoint and window.
+    Only aggregated rows are ranked: at most one per checkpoint and window. On a stream each of
+    `shards` shares of the checkpoints is ranked by itself, then the best of all shares.
     """
     if traffic.isStreaming:
-        return _congestion_topn_stream(traffic, n, window_ms, slide_ms)
+        return _congestion_topn_stream(traffic, n, window_ms, slide_ms, shards)
     by_count = Window.partitionBy("start_time").orderBy(F.desc("car_count"), "monitor_id")
     ranked = avg_speed(traffic, window_ms, slide_ms).withColumn(
         "rank", F.row_number().over(by_count).cast("bigint")
@@ -78,17 +90,22 @@ def congestion_topn(
     return ranked.where(F.col("rank") <= n).select("rank", *AVG_SPEED_COLUMNS)
 
 
-def _congestion_topn_stream(traffic, n, window_ms, slide_ms) -> DataFrame:
-    # A slide gathers one aggregated entry per checkpoint, as many as the city has.
+def _congestion_topn_stream(traffic, n, window_ms, slide_ms, shards) -> DataFrame:
+    # A state row holds the checkpoints of one shard, and then `n` of each shard.
     entry = F.struct(
         (-F.col("car_count")).alias("order"), "monitor_id", "avg_speed", "car_count",
         "start_time", "end_time",
     )
-    tops = (
+    top = F.slice(F.sort_array(F.collect_list("e")), 1, n).alias("top")
+    shard = F.pmod(F.xxhash64("monitor_id"), F.lit(shards)).alias("shard")
+    per_shard = (
         _avg_speed_stream(traffic, window_ms, slide_ms)
-        .groupBy(F.window(F.window_time("window"), _ms(slide_ms)).alias("slide"))
-        .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top"))
+        .select("window", shard, entry.alias("e"))
+        .groupBy(F.window(F.window_time("window"), _ms(slide_ms)), "shard")
+        .agg(top)
+        .select("window", F.explode("top").alias("e"))
     )
+    tops = per_shard.groupBy(F.window(F.window_time("window"), _ms(slide_ms))).agg(top)
     return tops.select(F.posexplode("top").alias("pos", "e")).select(
         (F.col("pos") + 1).cast("bigint").alias("rank"), *[f"e.{c}" for c in AVG_SPEED_COLUMNS]
     )

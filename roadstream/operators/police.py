@@ -23,12 +23,13 @@ def interval_join(
 ) -> DataFrame:
     """Every violation with every police action from `lo_ms` to `hi_ms` after it, both ends
     included. Streams need watermarks on `event_ts`."""
+    bucket_ms = _bucket_ms(lo_ms, hi_ms)
     if violations.isStreaming or police.isStreaming:
-        v, p = _stream_sides(violations, police)
+        v = _v_side(_in_bucket(violations, "create_time", bucket_ms))
+        p = _p_side(_in_reach(police, "action_time", -hi_ms, -lo_ms, bucket_ms))
         return v.join(p, _stream_condition(lo_ms, hi_ms), "inner").select(
             F.col("v_car").alias("car"), *PAIR_COLUMNS[1:]
         )
-    bucket_ms = _bucket_ms(lo_ms, hi_ms)
     v = _in_bucket(violations, "create_time", bucket_ms)
     p = _in_reach(police, "action_time", -hi_ms, -lo_ms, bucket_ms)
     return (
@@ -43,13 +44,9 @@ def reconcile(
 ) -> DataFrame:
     """All pairs within `wait_ms` of each other, all violations and all police actions without
     a partner, told apart by `outcome`."""
-    if violations.isStreaming or police.isStreaming:
-        v, p = _stream_sides(violations, police)
-        joined = v.join(p, _stream_condition(-wait_ms, wait_ms), "full_outer").withColumn(
-            "car", F.coalesce("v_car", "p_car")
-        )
-        return joined.select(_outcome("v_car", "p_car"), *PAIR_COLUMNS)
     bucket_ms = _bucket_ms(-wait_ms, wait_ms)
+    if violations.isStreaming or police.isStreaming:
+        return _reconcile_stream(violations, police, wait_ms, bucket_ms)
     near = _within(-wait_ms, wait_ms)
     p_reach = _in_reach(police, "action_time", -wait_ms, wait_ms, bucket_ms)
     p_reach = p_reach.withColumnRenamed("car", "p_car").withColumnRenamed("bucket", "p_bucket")
@@ -69,13 +66,35 @@ def reconcile(
         v_reach,
         (F.col("car") == F.col("v_car")) & (F.col("bucket") == F.col("v_bucket")) & near,
         "left_anti",
-    ).select(
-        F.lit(NO_VIOLATION).alias("outcome"), "car",
+    ).select(*_unprompted("car"))
+    return answered.unionByName(unprompted)
+
+
+def _unprompted(car: str) -> list[Column]:
+    return [
+        F.lit(NO_VIOLATION).alias("outcome"), F.col(car).alias("car"),
         F.lit(None).cast("string").alias("violation"),
         F.lit(None).cast("bigint").alias("create_time"),
-        "police_id", "action_status", "action_time",
+        *map(F.col, ("police_id", "action_status", "action_time")),
+    ]
+
+
+def _reconcile_stream(violations, police, wait_ms: int, bucket_ms: int) -> DataFrame:
+    """State is kept by (car, bucket), so that a car with very many rows is spread. In each join
+    only the other side is copied to several buckets, so a row is paired, or found to be without
+    a partner, once."""
+    near = _stream_condition(-wait_ms, wait_ms)
+    v_once = _v_side(_in_bucket(violations, "create_time", bucket_ms))
+    p_reach = _p_side(_in_reach(police, "action_time", -wait_ms, wait_ms, bucket_ms))
+    answered = v_once.join(p_reach, near, "left").select(
+        _outcome("v_car", "p_car"), F.col("v_car").alias("car"), *PAIR_COLUMNS[1:]
     )
-    return answered.unionByName(unprompted)
+    p_once = _p_side(_in_bucket(police, "action_time", bucket_ms))
+    v_reach = _v_side(
+        _in_reach(violations, "create_time", -wait_ms, wait_ms, bucket_ms)
+    ).select("v_car", "v_ts", "v_bucket")
+    unprompted = p_once.join(v_reach, near, "left").where(F.col("v_car").isNull())
+    return answered.unionByName(unprompted.select(*_unprompted("p_car")))
 
 
 def reconcile_slots(
@@ -170,15 +189,16 @@ def _outcome(v_mark: str, p_mark: str) -> Column:
     )
 
 
-def _stream_sides(violations, police) -> tuple[DataFrame, DataFrame]:
-    return (
-        violations.withColumnsRenamed({"car": "v_car", "event_ts": "v_ts"}),
-        police.withColumnsRenamed({"car": "p_car", "event_ts": "p_ts"}),
-    )
+def _v_side(violations: DataFrame) -> DataFrame:
+    return violations.withColumnsRenamed({"car": "v_car", "event_ts": "v_ts", "bucket": "v_bucket"})
+
+
+def _p_side(police: DataFrame) -> DataFrame:
+    return police.withColumnsRenamed({"car": "p_car", "event_ts": "p_ts", "bucket": "p_bucket"})
 
 
 def _stream_condition(lo_ms: int, hi_ms: int) -> Column:
     return F.expr(
-        f"v_car = p_car AND p_ts >= v_ts + INTERVAL '{lo_ms}' MILLISECONDS "
+        f"v_car = p_car AND v_bucket = p_bucket AND p_ts >= v_ts + INTERVAL '{lo_ms}' MILLISECONDS "
         f"AND p_ts <= v_ts + INTERVAL '{hi_ms}' MILLISECONDS"
     )
