@@ -48,7 +48,12 @@ def track_batches(tracks: DataFrame, size: int = BATCH_ROWS, **cells) -> DataFra
 
     Rows are numbered inside range partitions, offset by the rows before, not in one task.
     """
+    rows = numbered_tracks(tracks, "_no", **cells)
+    return rows.withColumn("batch_id", floor_div(F.col("_no"), size)).drop("_no")
+
+
+def numbered_tracks(tracks: DataFrame, name: str, **cells) -> DataFrame:
+    """Tracks with their place in the order of all."""
     order = pass_order(tracks.columns)
     order = [*order, *[c for c in ("car",) if c not in order]]
-    rows = numbered(tracks, order, "_no", **cells)
-    return rows.withColumn("batch_id", floor_div(F.col("_no"), size)).drop("_no")
+    return numbered(tracks, order, name, **cells)

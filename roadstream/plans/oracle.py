@@ -313,6 +313,14 @@ SELECT area_id, action_time // 600000 * 600000 + 600000 AS window_end,
 FROM traffic GROUP BY 1, 2""",
     "speeding_versions_stream": f"""
 SELECT car, monitor_id, road_id, real_speed, limit_speed, action_time FROM ({_VERSIONS})""",
+    "avg_speed_late_stream": ORACLE["avg_speed_sliding"],
+    "clone_once_per_day_stream": _with(RAW, _clones(6 * 3600, _BY_FIELDS)) + """
+SELECT car, msg AS violation, min(second_time) AS create_time FROM clones
+GROUP BY car, msg, second_time // 86400000""",
+    "track_batches_stream": _BASE + "," + _TRACKS + """
+SELECT * EXCLUDE (event_id),
+  (row_number() OVER (ORDER BY action_time, monitor_id, speed, road_id, area_id, car) - 1) // 10 AS batch_id
+FROM tracks""",
     "cloned_plates_stream": _with(TRAFFIC, _clones(10, _BY_FIELDS)) + " SELECT * FROM clones",
     "dangerous_drivers_all_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM pairs",
     "dangerous_drivers_longest_stream": _GROSS_STREAM + f" SELECT {_MATCH} FROM longest",

@@ -11,8 +11,10 @@ from roadstream.operators import area, clones, danger, flow, police, speeding, t
 from roadstream.plans import fixtures as fx, streams
 from roadstream.schemas import POLICE_ACTION, TRACK, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir, snapshot
+from roadstream.sinks.by_day import DayStore
 from roadstream.sinks.keyed import KeyedStore
 from roadstream.sources import lines
+from roadstream.streaming import late
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,6 +336,28 @@ def speeding_versions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.drain(spark, streams.limit_lines(spark, sf_dir), streams.versions_carried)
 
 
+def avg_speed_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some cameras are late by more than a window: what they missed is corrected."""
+    return streams.drain(
+        spark, {"lines": streams.delayed_lines(spark, sf_dir)}, streams.corrected_averages,
+        read=lambda s, folder: late.average_store(s, f"{folder}/store").read(), slices=4)
+
+
+def clone_once_per_day_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first alarm per car and day over thirty real days, at a gap of six hours."""
+    return streams.drain(
+        spark, {"lines": streams.traffic_lines(spark, sf_dir, raw_time=True)},
+        lambda folder, lines: streams.clones_by_day(folder, lines, SIX_HOURS),
+        read=lambda s, folder: DayStore(s, f"{folder}/store").read(), slices=4)
+
+
+def track_batches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = fx.violations(spark, sf_dir)
+    start = lambda s, d: lambda folder, lines: streams.track_batches_carried(
+        folder, lines, listed, streams.DAY_MS)
+    return _traffic_run(start, slices=3)(spark, sf_dir).withColumnRenamed("track_batch", "batch_id")
+
+
 _IN_STATE = {"bytes_per_slice": streams.BYTES_PER_STATE_SLICE}
 
 QUERIES |= {
@@ -344,6 +368,9 @@ QUERIES |= {
     "area_running_stream": area_running_stream,
     "area_counts_store_stream": area_counts_store_stream,
     "speeding_versions_stream": speeding_versions_stream,
+    "avg_speed_late_stream": avg_speed_late_stream,
+    "clone_once_per_day_stream": clone_once_per_day_stream,
+    "track_batches_stream": track_batches_stream,
     "car_tracks_stream": _traffic_stream(
         lambda s, d, x: streams.tracks_job(x, fx.violations(s, d))
     ),

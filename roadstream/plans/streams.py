@@ -11,7 +11,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadstream.functions.scalar import with_warning_time
@@ -19,10 +19,11 @@ from roadstream.operators import area, clones, danger, flow, police, speeding, t
 from roadstream.plans import fixtures as fx
 from roadstream.schemas import AREA_COUNT, LIMIT_VERSION, POLICE_ACTION, TRAFFIC, VIOLATION
 from roadstream.session import shared_dir
+from roadstream.sinks.by_day import DayStore, to_days
 from roadstream.sinks.keyed import KeyedStore
 from roadstream.sinks.writers import Writer, latest_counts, to_folder, to_keyed_store, write, write_speeding
 from roadstream.sources.lines import MAX_TIME, parse_limit_version, parse_police, parse_traffic, parse_violation, read_lines_stream
-from roadstream.streaming import carried
+from roadstream.streaming import carried, late
 from roadstream.streaming.area_counts import area_running_stream
 from roadstream.streaming.machines import (
     cloned_plates_stream, dangerous_drivers_stream, reconcile_slots_stream,
@@ -126,6 +127,38 @@ def tracks_job(lines: DataFrame, violations: DataFrame) -> DataFrame:
     return tracks.car_tracks(parse_traffic(lines), violations)
 
 
+def corrected_averages(
+    folder: str, lines: DataFrame, report: Writer | None = None, **kw
+) -> StreamingQuery:
+    """Average speeds in a store by key, late passes counted."""
+    store = late.average_store(lines.sparkSession, f"{folder}/store")
+    return late.run_corrected(
+        parse_traffic(lines), to_keyed_store(store), f"{folder}/carried", report,
+        **{"trigger": ONCE, **kw},
+    )
+
+
+def clones_by_day(folder: str, lines: DataFrame, gap_sec: int = clones.GAP_SEC) -> StreamingQuery:
+    """Alarms as violations, the first per car and day, in a store by day."""
+    put = to_days(DayStore(lines.sparkSession, f"{folder}/store"), merge_every=2)
+    return carried.run_carried(
+        carried.clone_rows(parse_traffic(lines)), "action_time", 0, carried.clone_step(gap_sec),
+        lambda alarms, batch_id: put(clones.as_violations(alarms), batch_id),
+        f"{folder}/carried", trigger=ONCE,
+    )
+
+
+def track_batches_carried(
+    folder: str, lines: DataFrame, violations: DataFrame, wait_ms: int | None = None
+) -> StreamingQuery:
+    """Tracks of listed cars in batches of ten, numbered on over the micro-batches."""
+    return carried.run_carried(
+        parse_traffic(lines), "action_time", 0, carried.track_step(wait_ms=wait_ms),
+        to_folder(f"{folder}/out"), f"{folder}/carried",
+        prepare=lambda batch: carried.track_rows(tracks.car_tracks(batch, violations)), trigger=ONCE,
+    )
+
+
 # Draining: the inputs arrive as lines in the shared folder, slice by slice in time.
 
 FAR_FUTURE = 4102444800000  # 2100-01-01: the closing row is not before that
@@ -208,12 +241,13 @@ def drain(
     start: Start,
     bytes_per_slice: int = BYTES_PER_SLICE,
     read: Callable[[SparkSession, str], DataFrame] | None = None,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Results over all of `inputs` (name -> rows of `at`, `value`), taken in as streams. What
     waits in the state is never more than a slice and the rows in the delay. `read` gives the
     results from the folder, if they are not in <folder>/out."""
     base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    bounds, slice_bytes = _slices(inputs, bytes_per_slice)
+    bounds, slice_bytes = _slices(inputs, bytes_per_slice, slices)
     array = F.array(*map(F.lit, bounds)).cast("array<bigint>")
     number = F.size(F.filter(array, lambda b: b <= F.col("at"))).alias("slice")  # 0 where a time is null
     staged = {}
@@ -237,13 +271,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def _slices(inputs: dict[str, DataFrame], bytes_per_slice: int) -> tuple[list[int], int]:
+def _slices(inputs: dict[str, DataFrame], bytes_per_slice: int, at_least: int) -> tuple[list[int], int]:
     """Times that divide the rows into slices of about equally many, and the bytes of one slice.
     All inputs share them, so that neither runs ahead. The first and the last slice are open."""
     both = [df.select("at", F.octet_length("value").alias("b")) for df in inputs.values()]
     rows = reduce(DataFrame.unionByName, both)
     size = rows.agg(F.sum("b")).first()[0] or 0
-    n = max(SLICES, -(-size // bytes_per_slice))
+    n = max(at_least, -(-size // bytes_per_slice))
     inner = rows.approxQuantile("at", [i / n for i in range(1, n)], 0.1 / n)
     return sorted({int(b) for b in inner}), size // n
 
@@ -261,11 +295,19 @@ def _state_partitions(spark: SparkSession, size: int):
         spark.conf.set(name, given)
 
 
-def traffic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.traffic(spark, sf_dir)
+def traffic_lines(spark: SparkSession, sf_dir: str, raw_time: bool = False) -> DataFrame:
+    rows = fx.traffic(spark, sf_dir, raw_time)
     return _as_lines(rows, TRAFFIC, "action_time", closing_time(rows.select("action_time")))
 
 
+def delayed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic where the passes of some cameras arrive a quarter of an hour after their time."""
+    delay = F.when(F.col("camera_id") < "20000", 900_000).otherwise(0)
+    rows = fx.traffic(spark, sf_dir)
+    at = closing_time(rows.select("action_time"))
+    return _as_lines(rows, TRAFFIC, "action_time", at, F.col("action_time") + delay)
+
+
 def violation_police_lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Both sides, closed at one time."""
     v, p = fx.violations(spark, sf_dir), fx.police_actions(spark, sf_dir)
@@ -293,12 +335,13 @@ def closing_time(times: DataFrame) -> int:
     return FAR_FUTURE if last is None else min(max(FAR_FUTURE, last + DAY_MS), MAX_TIME)
 
 
-def _as_lines(df: DataFrame, schema: T.StructType, time_col: str, closing_at: int) -> DataFrame:
-    """Wire lines of a table with their time, and a closing row that lets the watermark pass all
+def _as_lines(df: DataFrame, schema: T.StructType, time_col: str, closing_at: int, arrival: Column | None = None) -> DataFrame:
+    """Wire lines of a table with the time they arrive (their own if not given), and a closing row that lets the watermark pass all
     others. Its keys say `closing` and the name of the time column."""
     fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in schema.fieldNames()]
     line = F.concat_ws(",", *fields)  # which would leave out nulls, and so shift fields
-    rows = df.select(F.col(time_col).alias("at"), line.alias("value"))
+    at = F.col(time_col) if arrival is None else arrival
+    rows = df.select(at.alias("at"), line.alias("value"))
     closing = ",".join(
         str(closing_at) if f.name == time_col
         else "0" if isinstance(f.dataType, T.DoubleType) else f"closing {time_col}"

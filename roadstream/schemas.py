@@ -60,9 +60,17 @@ AREA_COUNT = _struct(
     ("car_count", T.LongType()),
 )
 
+AVG_SPEED = _struct(
+    ("start_time", T.LongType()),
+    ("end_time", T.LongType()),
+    ("monitor_id", T.StringType()),
+    ("avg_speed", T.DoubleType()),
+    ("car_count", T.LongType()),
+)
+
 # Column lists of the result tables.
 SPEEDING_COLUMNS = ["car", "monitor_id", "road_id", "real_speed", "limit_speed", "action_time"]
-AVG_SPEED_COLUMNS = ["start_time", "end_time", "monitor_id", "avg_speed", "car_count"]
+AVG_SPEED_COLUMNS = AVG_SPEED.fieldNames()
 VIOLATION_COLUMNS = VIOLATION.fieldNames()
 TRACK_COLUMNS = ["row_key", "car", "action_time", "monitor_id", "road_id", "area_id", "speed"]
 

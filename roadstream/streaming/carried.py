@@ -14,12 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream.functions.scalar import floor_div
 from roadstream.operators.area import RUNNING_MS, first_passes, running_since
 from roadstream.operators.clones import GAP_SEC, clone_alarms, clone_columns, paired_passes
 from roadstream.operators.danger import TIMES, WITHIN_MS, matches_of
 from roadstream.operators.ordered import following
 from roadstream.operators.police import BOUND_MS, SLOT_FIELDS, slot_outcomes, slot_rows
 from roadstream.operators.speeding import SPEEDING_TOLERANCE
+from roadstream.operators.tracks import BATCH_ROWS, numbered_tracks
 from roadstream.operators.versions import open_versions, over_valid_limit
 from roadstream.sinks.writers import Writer, write
 
@@ -63,7 +65,7 @@ def run_carried(
             held.append(df.persist())
             return df
 
-        old, newest = _read_progress(spark, folder, batch_id - 1)
+        old, newest = read_progress(spark, folder, batch_id - 1)
         late = F.lit(False) if old == NO_WATERMARK else moves & (F.col(time_col) <= old)
         fresh = hold(batch.where(~late))
         side = F.col(sides) if sides else F.lit(0)
@@ -79,10 +81,7 @@ def run_carried(
         writer(results, batch_id)
         waiting = known.where(F.col(time_col) > now).unionByName(still_open)
         waiting.write.mode("overwrite").parquet(_path(folder, "kept", batch_id))
-        progress = [(now, s, t) for s, t in newest.items()] or [(now, None, None)]
-        spark.createDataFrame(progress, "watermark bigint, side int, newest bigint").coalesce(
-            1
-        ).write.mode("overwrite").parquet(_path(folder, "progress", batch_id))
+        write_progress(spark, folder, batch_id, now, newest)
         for df in held:
             df.unpersist()
 
@@ -97,7 +96,7 @@ def _read_kept(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(_path(folder, "kept", batch_id))
 
 
-def _read_progress(spark: SparkSession, folder: str, batch_id: int) -> tuple[int, dict[int, int]]:
+def read_progress(spark: SparkSession, folder: str, batch_id: int) -> tuple[int, dict[int, int]]:
     """The watermark, and the newest time per side: two rows at most."""
     if batch_id < 0:
         return NO_WATERMARK, {}
@@ -105,7 +104,14 @@ def _read_progress(spark: SparkSession, folder: str, batch_id: int) -> tuple[int
     return rows[0]["watermark"], {r["side"]: r["newest"] for r in rows if r["side"] is not None}
 
 
-def _before(now: int, ms: int) -> int:
+def write_progress(spark: SparkSession, folder: str, batch_id: int, now: int, newest: dict[int, int]) -> None:
+    rows = [(now, s, t) for s, t in newest.items()] or [(now, None, None)]
+    spark.createDataFrame(rows, "watermark bigint, side int, newest bigint").coalesce(
+        1
+    ).write.mode("overwrite").parquet(_path(folder, "progress", batch_id))
+
+
+def before(now: int, ms: int) -> int:
     return max(now - ms, NO_WATERMARK)
 
 
@@ -119,7 +125,7 @@ def clone_step(gap_sec: int = GAP_SEC, **split) -> Step:
     def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
         paired = hold(paired_passes(due, gap_sec, split, _next=following(F.lit(True))))
         waits = ~F.col("_second") & F.col("_next").isNull()
-        near = F.col("action_time") > _before(now, (gap_sec + 1) * 1000)
+        near = F.col("action_time") > before(now, (gap_sec + 1) * 1000)
         return clone_alarms(paired), paired.where(waits & near).select(*due.columns)
 
     return step
@@ -139,7 +145,7 @@ def danger_step(
         else:
             over = F.col("start_time") + within_ms
             new = (over > old) & (over <= now)
-        return found.where(new), due.where(F.col("action_time") > _before(now, within_ms))
+        return found.where(new), due.where(F.col("action_time") > before(now, within_ms))
 
     return step
 
@@ -149,7 +155,7 @@ def slot_step(wait_ms: int = BOUND_MS, **split) -> Step:
 
     def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
         pairs, alone = slot_outcomes(due, wait_ms, split, hold)
-        waits = F.col("_is_last") & (F.col("at") > _before(now, wait_ms))
+        waits = F.col("_is_last") & (F.col("at") > before(now, wait_ms))
         done = alone.where(~waits).select("outcome", "car", *SLOT_FIELDS)
         return pairs.unionByName(done), alone.where(waits).select(*due.columns)
 
@@ -188,3 +194,34 @@ def running_step(window_ms: int = RUNNING_MS, **split) -> Step:
         return results, kept.select(*[F.lit(True).alias("seen") if c == "seen" else c for c in due.columns])
 
     return step
+
+
+def track_rows(tracks: DataFrame) -> DataFrame:
+    """Tracks for `track_step`. `no` is the place of a row in the order of all, once it is known,
+    `done` says that it is written."""
+    return tracks.drop("event_ts").withColumns(
+        {"no": F.lit(None).cast("bigint"), "done": F.lit(False)})
+
+
+def track_step(size: int = BATCH_ROWS, wait_ms: int | None = None, **cells) -> Step:
+    """Batches of `size` rows over the order of all rows. Keeps the rows of the open last batch,
+    and the last row of all, from which the numbering goes on. With `wait_ms`, an open batch whose
+    last row is that far behind the watermark is written as it is; what follows in it later comes
+    under the same number. The number is `track_batch`: `batch_id` is that of a micro-batch."""
+
+    def step(due: DataFrame, old: int, now: int, hold: Hold) -> tuple[DataFrame, DataFrame]:
+        known = due.where(F.col("no").isNotNull())
+        last = known.agg(F.max("no")).first()[0]
+        fresh = numbered_tracks(due.where(F.col("no").isNull()).drop("no"), "no", **cells)
+        start = 0 if last is None else last + 1
+        rows = known.unionByName(fresh.withColumn("no", F.col("no") + start))
+        rows = hold(rows.withColumn("track_batch", floor_div(F.col("no"), size)))
+        end = rows.agg(F.max("no").alias("no"), F.max("action_time").alias("at")).first()
+        full = 0 if end["no"] is None else (end["no"] + 1) // size  # batches below this are full
+        flush = wait_ms is not None and end["no"] is not None and end["at"] <= before(now, wait_ms)
+        ready = F.lit(flush) | (F.col("track_batch") < full)
+        results = rows.where(ready & ~F.col("done")).drop("no", "done")
+        still = rows.where((~ready & ~F.col("done")) | (F.col("no") == F.lit(end["no"])))
+        return results, still.withColumn("done", F.col("done") | ready).select(*due.columns)
+
+    return step
