@@ -54,7 +54,7 @@ def test_corrected_windows_equal_the_table(spark, tmp_path, seed):
         times = [int(v.split(",")[0]) for v in batch]
         late |= {(t, newest - 5_000 - t) for t in times if newest is not None and t <= newest - 5_000}
         newest = max([*times, newest or 0])
-    got = read_folder(spark, f"{folder}/late", parse_traffic(lines(spark, [])).schema.add("behind_ms", "bigint"))
+    got = read_folder(spark, f"{folder}/late", parse_traffic(lines(spark, [])).schema.add("behind_ms", "long"))
     assert len(late) > 20 and set(tuples(got, "action_time", "behind_ms")) == late
 
 
