@@ -252,6 +252,7 @@ SELECT area_id, (action_time // 60000 - k) * 60000 AS window_start, window_start
   count(DISTINCT car) AS car_count, true AS within
 FROM traffic CROSS JOIN range(5) r(k) GROUP BY 1, 2""",
     "car_tracks_few": _BASE + "," + _SERIOUS + "," + _TRACKS.replace("violation", "serious") + " SELECT * FROM tracks",
+    "car_tracks_large_list": _BASE + "," + _SERIOUS + "," + _TRACKS.replace("violation", "serious") + " SELECT * FROM tracks",
     "track_store": _with(TRAFFIC.replace("AS action_time,", "// 60000 * 60000 AS action_time,"), _SERIOUS) + "," + _TRACKS.replace("violation", "serious") + """
 SELECT row_key, car, action_time, monitor_id, road_id, area_id, speed FROM tracks
 QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY event_id DESC) = 1""",

@@ -183,6 +183,15 @@ def car_tracks_few(spark, sf_dir):
     return tracks.car_tracks(fx.traffic(spark, sf_dir), fx.serious_violations(spark, sf_dir))
 
 
+def car_tracks_large_list(spark, sf_dir):
+    """As `car_tracks_few`, with the list treated as too large to broadcast: a Bloom filter of it
+    goes before the shuffle."""
+    return tracks.car_tracks(
+        fx.traffic(spark, sf_dir), fx.serious_violations(spark, sf_dir),
+        broadcast_rows=0, hot_rows=50,
+    )
+
+
 def track_store(spark, sf_dir):
     """Tracks whose row keys repeat, put into a keyed store by three micro-batches, of which the
     second comes twice, with a compaction between."""
@@ -272,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "violation_police_slots_split": violation_police_slots_split,
     "car_tracks": car_tracks,
     "car_tracks_few": car_tracks_few,
+    "car_tracks_large_list": car_tracks_large_list,
     "car_tracks_latest": car_tracks_latest,
     "track_store": track_store,
     "track_batches": track_batches,
