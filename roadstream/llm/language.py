@@ -4,8 +4,10 @@ A known word counts with the logarithm of its frequency in each language. An uns
 that any language knows: if none of its n-grams of length `LONGEST` is known, those one shorter, down to single letters.
 The language with the largest sum over all words of the text is predicted; the score is its share among the languages.
 
-The model is fitted on a sample of at most about `TRAIN_ROWS` documents with a known language, chosen by a hash of doc_id; it
-keeps at most `WORDS` words and `GRAMS` n-grams of each length. Predictions are for all documents from their whole texts.
+The model is fitted on a sample of at most about `TRAIN_ROWS` documents with a known language, chosen by a hash of doc_id. All
+words and n-grams of the sample are counted on Spark, and frequencies are shares of these counts. The model keeps those seen
+more than once, at most the `WORDS` words and `GRAMS` n-grams of each length that are most frequent over all languages (equal
+ones by code point), so that the names of languages change no prediction but a tie. Predictions are for all documents from their whole texts.
 
 Defined results: `und` with score 0 if the text is null or has no letter, or if no language is known at all; languages with
 equal sums go by code point; rows are independent, so repeated rows agree; an empty table gives an empty result.
@@ -14,15 +16,16 @@ equal sums go by code point; rows are independent, so repeated rows agree; an em
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.llm.common import bounded, crc_remainder, whole_text
+from roadstream.llm.common import bounded, crc_remainder, stored, whole_text
 
 TRAIN_ROWS, WORDS, GRAMS = 20_000, 200_000, 50_000
 LONGEST = 4
@@ -44,29 +47,56 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def tally(words: Counter) -> Iterator[tuple[int, Counter]]:
+    """What is counted of words: themselves (as length 0), then their n-grams by length."""
+    yield 0, words
+    for n in range(1, LONGEST + 1):
+        grams = Counter()
+        for w, k in words.items():
+            for g in grams_of(w, n):
+                grams[g] += k
+        yield n, grams
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Counts of words or of n-grams of one length: the sums by language and the number of different ones are of all, `top`
+    holds those that the model keeps, by language."""
+
+    sums: dict[str, int]
+    different: int
+    top: dict[str, dict[str, int]]
+
+
 class Languages:
     """Log frequencies by language of words and n-grams."""
 
-    def __init__(self, counts: dict[str, Counter]):
-        """`counts`: of words by language."""
-        self.langs = sorted(counts)
-        self.words = self._table(counts, WORDS)
-        self.grams = {}
-        for n in range(1, LONGEST + 1):
-            by_lang = {}
-            for lang, words in counts.items():
-                by_lang[lang] = c = Counter()
-                for w, k in words.items():
-                    for g in grams_of(w, n):
-                        c[g] += k
-            self.grams[n] = self._table(by_lang, GRAMS)
-
-    def _table(self, counts: dict[str, Counter], most: int) -> dict[str, np.ndarray]:
-        total = sum(counts.values(), Counter())
-        kept = sorted((k for k in total if total[k] > 1), key=lambda k: (-total[k], k))[:most]
-        sums = np.array([sum(counts[x].values()) for x in self.langs], float)
-        below = np.log(sums + SMOOTH * (len(total) + 1))
-        return {k: np.log(np.array([counts[x][k] for x in self.langs]) + SMOOTH) - below for k in kept}
+    def __init__(self, langs: list[str], counts: dict[int, Counts]):
+        """`counts`: by length, that of words being 0."""
+        self.langs = sorted(langs)
+        tables = {n: self._table(counts[n]) if n in counts else {} for n in range(LONGEST + 1)}
+        self.words = tables.pop(0)
+        self.grams = tables
+
+    @classmethod
+    def of(cls, counts: dict[str, Counter]) -> Languages:
+        """From all counts of words by language, in memory."""
+        by_length: dict[int, dict[str, Counter]] = {}
+        for lang, words in counts.items():
+            for n, found in tally(words):
+                by_length.setdefault(n, {})[lang] = found
+        made = {}
+        for n, by_lang in by_length.items():
+            total = sum(by_lang.values(), Counter())
+            kept = sorted((k for k in total if total[k] > 1), key=lambda k: (-total[k], k))[:WORDS if n == 0 else GRAMS]
+            made[n] = Counts({x: sum(c.values()) for x, c in by_lang.items()}, len(total),
+                             {k: {x: c[k] for x, c in by_lang.items() if k in c} for k in kept})
+        return cls(list(counts), made)
+
+    def _table(self, counts: Counts) -> dict[str, np.ndarray]:
+        sums = np.array([counts.sums.get(x, 0) for x in self.langs], float)
+        below = np.log(sums + SMOOTH * (counts.different + 1))
+        return {k: np.log(np.array([by.get(x, 0) for x in self.langs]) + SMOOTH) - below for k, by in counts.top.items()}
 
     def vector(self, word: str) -> np.ndarray:
         found = self.words.get(word)
@@ -114,25 +144,35 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Languages:
     sample = bounded(usable.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), train_rows, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = defaultdict(Counter)
+        counts: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[lang].update(words_of(text))
+                counts.setdefault(lang, Counter()).update(words_of(text))
         for lang, words in counts.items():
-            names, times = list(words), list(words.values())
-            for i in range(0, len(names), 10_000):
-                part = names[i:i + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), pa.array(part, pa.string()), pa.array(times[i:i + 10_000], pa.int64())],
-                    ["lang", "word", "n"])
-
-    counted = sample.select("lang", "text").mapInArrow(run, "lang string, word string, n bigint")
-    summed = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts: dict[str, Counter] = {r["lang"]: Counter() for r in sample.select("lang").distinct().collect()}
-    # Words are few beside the sample's text, which train_rows bounds; the most frequent ones reach the driver.
-    for r in summed.orderBy(F.desc("n"), "lang", "word").limit(2 * WORDS).toLocalIterator():
-        counts[r["lang"]][r["word"]] = r["n"]
-    return Languages(counts)
+            for n, found in tally(words):
+                keys, times = list(found), list(found.values())
+                for i in range(0, len(keys), 10_000):
+                    part = keys[i:i + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part)), pa.array([n] * len(part), pa.int32()), pa.array(part, pa.string()),
+                         pa.array(times[i:i + 10_000], pa.int64())], ["lang", "n", "key", "times"])
+
+    langs = [r["lang"] for r in sample.select("lang").distinct().collect()]
+    counted = sample.select("lang", "text").mapInArrow(run, "lang string, n int, key string, times bigint")
+    by_lang = counted.groupBy("n", "key", "lang").agg(F.sum("times").alias("times"))
+    # One row for each word or n-gram; the languages in it are no more than the sample has rows.
+    keys = stored(by_lang.groupBy("n", "key").agg(
+        F.sum("times").alias("total"), F.collect_list(F.struct("lang", "times")).alias("by_lang")), "counted")
+    different = {r["n"]: r["different"] for r in keys.groupBy("n").agg(F.count("*").alias("different")).collect()}
+    sums: dict[int, dict[str, int]] = {n: {} for n in different}
+    for r in keys.select("n", F.explode("by_lang").alias("of")).groupBy("n", "of.lang").agg(F.sum("of.times").alias("times")).collect():
+        sums[r["n"]][r["lang"]] = r["times"]
+    counts = {}
+    for n in different:  # at most LONGEST + 1 of them; what reaches the driver is bounded by WORDS and GRAMS
+        top = keys.where((F.col("n") == n) & (F.col("total") > 1)).orderBy(F.desc("total"), "key").limit(WORDS if n == 0 else GRAMS)
+        rows = top.select("key", "by_lang").toLocalIterator()
+        counts[n] = Counts(sums[n], different[n], {r["key"]: {x["lang"]: x["times"] for x in r["by_lang"]} for r in rows})
+    return Languages(langs, counts)
 
 
 def classify(docs: DataFrame, languages: Languages | None = None) -> DataFrame:
