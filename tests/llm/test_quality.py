@@ -56,3 +56,34 @@ def test_preferences_set_the_weights():
 def test_the_sample_is_bounded(spark, bound):
     rows = common.bounded(spark.range(3000).withColumnRenamed("id", "doc_id"), bound, "doc_id").count()
     assert rows == 3000 if bound > 3000 else 50 < rows < 160
+
+
+def test_query_against_brute_force(spark):
+    """A sample of some of the rows gives the weights, all labelled rows that are not held out the threshold."""
+    docs, labels = common.documents(spark, SF).where("doc_id < 1500"), common.labels(spark, SF)
+    got = {r["doc_id"]: r for r in quality.classify(docs, labels, train_rows=400).collect()}
+    ranking = quality.train(docs, labels, train_rows=400)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] is not None and r["doc_id"] in texts}
+    learnt = [i for i in known if zlib.crc32(str(i).encode()) % 5]
+    sums = dict(zip(texts, quality.Ranking(ranking.weights, 0.0).sums(list(texts.values()))))
+    below = sorted(sums[i] for i in learnt)
+    bad = sum(known[i] == 0 for i in learnt)
+    assert 400 < len(learnt) and 0 < bad
+    near = 2 / quality.STEPS
+    assert (below[bad - 1] - near) <= ranking.threshold <= (below[bad] + near)
+    assert got.keys() == texts.keys()
+    for i, r in got.items():
+        want = 1 / (1 + np.exp(-np.clip(sums[i] - ranking.threshold + np.log(0.3 / 0.7), -60, 60)))
+        assert abs(r["score"] - want) < 1e-9 and r["predicted"] == (r["score"] >= 0.3)
+
+
+def test_quantile_of_repeated_rows_and_one_label(spark):
+    rows = [(i, i // 3 / 7.0) for i in range(30)] + [(0, 5.0), (None, 1.0)]
+    sums = spark.createDataFrame(rows, "doc_id bigint, sum double")
+    ranking = quality.Ranking(np.ones(quality.MEASURES), 2.0)
+    usable = spark.createDataFrame([(i, int(i >= 12)) for i in range(30)] + [(99, 0)], "doc_id bigint, y int")
+    moved = quality._at_quantile(ranking, sums, usable).threshold - 2.0
+    assert abs(moved - (3 / 7 + 4 / 7) / 2) <= 1 / quality.STEPS
+    for only in (0, 1):
+        assert quality._at_quantile(ranking, sums, usable.withColumn("y", F.lit(only))) is ranking
