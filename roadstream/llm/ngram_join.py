@@ -44,8 +44,8 @@ WORDS, LINK = 5, 80
 BUCKETS, BLOCK = 1 << 22, 1 << 14
 #: Bands of two minima each, and 64-bit numbers of a sketch (a power of two).
 BANDS, SKETCH = 6, 8
-#: Before the product is taken, classes that share an n-gram with `BUSY` classes at least are compared with `HEADS` of them,
-#: in up to `TURNS` turns, to tie what are near copies of one document.
+#: Before the product is taken, classes that share an n-gram with `BUSY` classes at least are compared with `HEADS` of them (the
+#: one of the most frequent n-grams, others by hash), in up to `TURNS` turns, to tie what are near copies of one document.
 BUSY, HEADS, TURNS = 16, 4, 2
 #: n-grams shared across groups that are broadcast; more of them are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
@@ -187,30 +187,34 @@ def frequent(described: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, classes: DataFrame, counters: np.ndarray) -> DataFrame:
-    """cid, label and the first n-grams of each class, rare ones first."""
+    """cid, label, the first n-grams of each class, rare ones first, and how frequent all of its n-grams are.
+
+    Of near copies of one text, the one that was changed least has the most frequent n-grams.
+    """
     order = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seldom, seen = order.value, set()
         for part in _parts(batches):
-            firsts, marks, new = [], [], []
+            firsts, marks, new, usual = [], [], [], []
             for doc_id, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1))):
                 marks.append(_marks(s))
                 new.append((doc_id, marks[-1]) not in seen)  # repeated rows
                 seen.add((doc_id, marks[-1]))
                 often = seldom[s & np.uint64(BUCKETS - 1)]
+                usual.append(int(1e6 * np.log1p(often).mean()) if len(s) else 0)
                 if often.any():
                     s = s[np.argsort(often, kind="stable")]
                 firsts.append(s[:len(s) - -(-LINK * len(s) // 100) + 1] if len(s) else s)
             yield pa.RecordBatch.from_arrays([
                 part.column(0), pa.array([m for m, _ in marks], pa.int64()), pa.array([m for _, m in marks], pa.int64()),
-                _longs(firsts)], ["doc_id", "m1", "m2", "grams"]).filter(pa.array(new, pa.bool_()))
+                _longs(firsts), pa.array(usual, pa.int64())], ["doc_id", "m1", "m2", "grams", "usual"]).filter(pa.array(new, pa.bool_()))
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
-        run, "doc_id bigint, m1 bigint, m2 bigint, grams array<bigint>")
+        run, "doc_id bigint, m1 bigint, m2 bigint, grams array<bigint>, usual bigint")
     own = classes.select("cid", "label", F.col("rep"), F.col("m1").alias("k1"), F.col("m2").alias("k2"))
     return found.join(own, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))).select(
-        "cid", "label", "grams")
+        "cid", "label", "usual", "grams")
 
 
 def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -274,7 +278,8 @@ def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: int) -> DataFrame:
     """Links of the classes that share much-shared n-grams to a few of them, in numbers linear in the entries."""
-    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)), F.col("cid").alias("head"))) for k in range(HEADS)]
+    heads = [F.min(F.struct(F.xxhash64("cid", F.lit(turn), F.lit(k)).alias("by"), F.col("cid").alias("head"))) for k in range(1, HEADS)]
+    heads.append(F.max(F.struct(F.col("usual").alias("by"), F.col("cid").alias("head"))))  # linked with most of its near copies
     busy = entries.groupBy("gram").agg(
         F.count("*").alias("df"), F.min("label").alias("low"), F.max("label").alias("high"), F.array(*heads).alias("heads"))
     busy = busy.where((F.col("low") < F.col("high")) & (F.col("df") >= BUSY))
@@ -290,7 +295,7 @@ def _head_links(docs: DataFrame, classes: DataFrame, entries: DataFrame, turn: i
 def further_links(docs: DataFrame, classes: DataFrame, counters: np.ndarray, turns: int = TURNS) -> DataFrame:
     """All links between classes of different labels, but for those that others make needless; without `turns`, all of them."""
     firsts = stored(prefixes(docs, classes, counters), "prefixes")
-    entries = firsts.select("cid", "label", F.explode("grams").alias("gram"))
+    entries = firsts.select("cid", "label", "usual", F.explode("grams").alias("gram"))
     differ = lambda e: e.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("gram")
     shared = stored(differ(entries), "shared")
     few = shared.count() <= BROADCAST_ROWS
