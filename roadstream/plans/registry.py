@@ -368,7 +368,10 @@ def track_batches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _traffic_run(start, slices=3)(spark, sf_dir).withColumnRenamed("track_batch", "batch_id")
 
 
-_IN_STATE = {"bytes_per_slice": streams.BYTES_PER_STATE_SLICE}
+_IN_STATE = {
+    "bytes_per_slice": streams.BYTES_PER_STATE_SLICE,
+    "bytes_per_partition": streams.BYTES_PER_STATE_PARTITION,
+}
 
 QUERIES |= {
     "speeding_stream": _traffic_stream(lambda s, d, x: streams.speeding_job(x, limits(s, d))),

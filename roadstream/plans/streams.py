@@ -168,6 +168,7 @@ BYTES_PER_SLICE = 256 << 30
 # Where the rows of one car go through one task, a slice must fit it whole.
 BYTES_PER_STATE_SLICE = 64 << 20
 BYTES_PER_PARTITION = 32 << 20
+BYTES_PER_STATE_PARTITION = 2 << 20  # these rows go through Python: a slice must keep all cores busy
 ONCE = {"availableNow": True}
 
 # start(folder, **streams) starts a query that writes to <folder>/out.
@@ -242,6 +243,7 @@ def drain(
     bytes_per_slice: int = BYTES_PER_SLICE,
     read: Callable[[SparkSession, str], DataFrame] | None = None,
     slices: int = SLICES,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
 ) -> DataFrame:
     """Results over all of `inputs` (name -> rows of `at`, `value`), taken in as streams. What
     waits in the state is never more than a slice and the rows in the delay. `read` gives the
@@ -254,7 +256,7 @@ def drain(
     for name, rows in inputs.items():  # one pass; each slice is then read alone
         rows.select("value", number).write.partitionBy("slice").parquet(f"{base}/staged/{name}")
         staged[name] = spark.read.schema("value string, slice int").parquet(f"{base}/staged/{name}")
-    with _state_partitions(spark, slice_bytes):
+    with _state_partitions(spark, slice_bytes // bytes_per_partition):
         for i in range(len(bounds) + 1):
             for name, rows in staged.items():
                 part = rows.where(F.col("slice") == i).select("value")
@@ -283,12 +285,12 @@ def _slices(inputs: dict[str, DataFrame], bytes_per_slice: int, at_least: int) -
 
 
 @contextmanager
-def _state_partitions(spark: SparkSession, size: int):
+def _state_partitions(spark: SparkSession, n: int):
     """As many partitions of state as a slice asks for: unlike the shuffles of a table job,
     those of a stream are not fitted to the data by Spark."""
     name = "spark.sql.shuffle.partitions"
     given = spark.conf.get(name)
-    spark.conf.set(name, str(max(4, size // BYTES_PER_PARTITION)))
+    spark.conf.set(name, str(max(4, n)))
     try:
         yield
     finally:

@@ -4,18 +4,27 @@ Spark gives the rows of a key unordered within a micro-batch. Rows wait in the s
 watermark has passed them, are then sorted, and go through the machine one by one: the same
 result as over a sorted table, for any split of the stream into micro-batches. A key with
 nothing waiting and nothing to remember leaves no state behind.
+
+A call from Spark costs milliseconds however few rows it brings, and with a call per key and
+micro-batch that cost comes to exceed all other work. So keys are dealt by hash to `SHARDS`
+shards, and a call takes a shard: the number of calls does not grow with that of the keys. The
+machine still sees each key alone.
 """
 
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from typing import Any, Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+#: Also the most state rows there can be. A checkpoint can only be read with the number it was written with.
+SHARDS = 1024
+
 
 class Machine(Protocol):
     """`memory` is any JSON value; None means nothing to remember."""
@@ -38,15 +47,17 @@ def replay(
     fields: list[str],
     machine: Machine,
     output_schema: str,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Run `machine` over the rows of each `key` in `order`. `df` has a watermark on `event_ts`.
 
     `output_schema` starts with the key column, which is put before what the machine emits.
     """
-    rows = df.select(key, "event_ts", *fields)
+    shard = F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("_shard")
+    rows = df.select(key, "event_ts", *fields, shard)
     whole = [f.name for f in rows.schema if isinstance(f.dataType, T.IntegralType)]
-    run = _runner(time_col, order, fields, whole, machine, _names(output_schema))
-    return rows.groupBy(key).applyInPandasWithState(
+    run = _runner(key, time_col, order, fields, whole, machine, _names(output_schema))
+    return rows.groupBy("_shard").applyInPandasWithState(
         run, output_schema, "state STRING", "append", GroupStateTimeout.EventTimeTimeout
     )
 
@@ -55,38 +66,49 @@ def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(",")]
 
 
-def _runner(time_col, order, fields, whole, machine, names):
-    at, places = fields.index(time_col), [fields.index(c) for c in order]
+def _runner(key, time_col, order, fields, whole, machine, names):
+    columns = [key, *fields]  # of a row; the key is its first value
+    at, places = columns.index(time_col), [columns.index(c) for c in order]
+
+    def in_order(row: tuple) -> list:
+        return [(row[i] is not None, row[i]) for i in places]
 
     def run(
-        key: tuple, frames: Iterable[pd.DataFrame], state: GroupState
+        shard: tuple, frames: Iterable[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         watermark = state.getCurrentWatermarkMs()
-        kept, memory = json.loads(state.get[0]) if state.exists else ([], None)
-        due, waiting = [], []
-        for rows in (kept, *(_plain_rows(f, fields, whole) for f in frames)):
+        kept, remembered = json.loads(state.get[0]) if state.exists else ([], [])
+        memories = dict(map(tuple, remembered))
+        due, waiting = defaultdict(list), []
+        for rows in (kept, *(_plain_rows(f, columns, whole) for f in frames)):
             for r in rows:
-                (due if r[at] <= watermark else waiting).append(r)
-        due.sort(key=lambda r: [(r[i] is not None, r[i]) for i in places])
+                (due[r[0]] if r[at] <= watermark else waiting).append(r)
 
         out: list[tuple] = []
-        for row in due:
-            memory, emitted = machine.step(memory, dict(zip(fields, row)))
-            out.extend(emitted)
-        if memory is not None:
-            memory, emitted = machine.expire(memory, watermark)
-            out.extend(emitted)
-
-        if waiting or memory is not None:
-            times = [r[at] for r in waiting]
+        for k, rows in due.items():
+            rows.sort(key=in_order)
+            memory = memories.get(k)
+            for row in rows:
+                memory, emitted = machine.step(memory, dict(zip(fields, row[1:])))
+                out.extend((k, *r) for r in emitted)
+            memories[k] = memory
+        still = []
+        for k, memory in memories.items():
             if memory is not None:
-                times.append(machine.deadline(memory))
-            state.update((json.dumps([waiting, memory]),))
+                memory, emitted = machine.expire(memory, watermark)
+                out.extend((k, *r) for r in emitted)
+            if memory is not None:
+                still.append((k, memory))
+
+        if waiting or still:
+            times = [r[at] for r in waiting]
+            times.extend(machine.deadline(memory) for _, memory in still)
+            state.update((json.dumps([waiting, still]),))
             state.setTimeoutTimestamp(max(min(times), watermark + 1))
         elif state.exists:
             state.remove()
         if out:
-            yield pd.DataFrame([(*key, *r) for r in out], columns=names, dtype=object)
+            yield pd.DataFrame(out, columns=names, dtype=object)
 
     return run
 
