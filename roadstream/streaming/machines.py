@@ -66,6 +66,8 @@ class GrossRuns:
         kept = 0
         while kept < len(memory) and memory[kept][0] <= until:
             kept += 1
+        if not kept:
+            return memory, []
         out = []
         if self.longest:
             out = self._matches(memory, range(min(kept, len(memory) - self.times + 1)))
