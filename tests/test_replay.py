@@ -31,7 +31,7 @@ def test_calls_do_not_grow_with_cars(spark, tmp_path):
     assert tuples(read_folder(spark, f"{tmp_path}/out", result.schema), *want.columns) == tuples(want, *want.columns)
 
 
-@pytest.mark.parametrize("name", ["clones", "all", "longest"])
+@pytest.mark.parametrize("name", ["clones", "all", "longest", "slots"])
 def test_cars_of_one_shard_are_apart(spark, tmp_path, monkeypatch, name):
     """All cars in one shard, an empty plate among them: each has its own memory."""
     monkeypatch.setattr(replay.replay, "__defaults__", (1,))
