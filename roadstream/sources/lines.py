@@ -53,10 +53,13 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     Trailing empty fields count as missing, fields past the last are ignored, as in the plain
     line format. A bad line becomes a rejected row and does not stop the job.
     """
+    others = [c for c in lines.columns if c != "value"]
+    # A generated column is made once a line. The plain expression would be put into every use of
+    # every field, also below the filters of the job, and each time split the line again.
     parts = F.split(F.regexp_replace("value", ",+$", ""), ",", -1)
-    fields = [_typed(F.get(parts, F.lit(i)), f.dataType).alias(f.name)
+    lines = lines.select(*others, "value", F.explode(F.array(parts)).alias("_parts"))
+    fields = [_typed(F.get("_parts", F.lit(i)), f.dataType).alias(f.name)
               for i, f in enumerate(schema)]
-    others = [c for c in lines.columns if c != "value"]
     numbers = [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
     bad_number, bad_speed, bad_time = F.lit(False), F.lit(False), F.lit(False)
     for f in schema:
@@ -67,7 +70,7 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
             bad_speed = bad_speed | ~F.abs(value).between(0.0, MAX_SPEED)
         if isinstance(f.dataType, T.LongType):
             bad_time = bad_time | ~value.between(MIN_TIME, MAX_TIME)
-    return lines.select(*others, "value", F.size(parts).alias("_size"), *fields).select(
+    return lines.select(*others, "value", F.size("_parts").alias("_size"), *fields).select(
         *others, "value", *schema.fieldNames(),
         F.when(F.col("_size") < len(schema), TOO_SHORT)
         .when(bad_number, BAD_NUMBER)
